@@ -159,11 +159,12 @@ def bounce_detail_entry_normal(t):
 
 @query
 def cart_add(t):
-    return dwd_db.cart_add(v.changes(t), v.dictionary(t.spark), v.DATABASE)
+    return dwd_db.cart_add(v.changes(t, "cart_info"), v.dictionary(t.spark), v.DATABASE)
 
 
 def _pre_process(t):
-    return dwd_db.order_pre_process(v.changes(t), v.dictionary(t.spark), v.DATABASE)
+    feed = v.changes(t, "order_detail", "order_info", "order_detail_activity", "order_detail_coupon")
+    return dwd_db.order_pre_process(feed, v.dictionary(t.spark), v.DATABASE)
 
 
 @query
@@ -184,52 +185,52 @@ def order_cancel(t):
 @query
 def pay_detail(t):
     details = dwd_db.order_detail(_pre_process(t))
-    return dwd_db.pay_detail(v.changes(t), details, v.dictionary(t.spark), v.DATABASE).drop("row_op_ts")
+    return dwd_db.pay_detail(v.changes(t, "payment_info"), details, v.dictionary(t.spark), v.DATABASE).drop("row_op_ts")
 
 
 @query
 def order_refund(t):
-    return dwd_db.order_refund(v.changes(t), v.dictionary(t.spark), v.DATABASE).drop("row_op_ts")
+    return dwd_db.order_refund(v.changes(t, "order_refund_info", "order_info"), v.dictionary(t.spark), v.DATABASE).drop("row_op_ts")
 
 
 @query
 def refund_pay(t):
-    return dwd_db.refund_pay(v.changes(t), v.dictionary(t.spark), v.DATABASE).drop("row_op_ts")
+    return dwd_db.refund_pay(v.changes(t, "refund_payment", "order_refund_info", "order_info"), v.dictionary(t.spark), v.DATABASE).drop("row_op_ts")
 
 
 @query
 def coupon_get(t):
-    return dwd_db.coupon_get(v.changes(t), v.DATABASE)
+    return dwd_db.coupon_get(v.changes(t, "coupon_use"), v.DATABASE)
 
 
 @query
 def coupon_order(t):
-    return dwd_db.coupon_order(v.changes(t), v.DATABASE)
+    return dwd_db.coupon_order(v.changes(t, "coupon_use"), v.DATABASE)
 
 
 @query
 def coupon_pay(t):
-    return dwd_db.coupon_pay(v.changes(t), v.DATABASE)
+    return dwd_db.coupon_pay(v.changes(t, "coupon_use"), v.DATABASE)
 
 
 @query
 def coupon_pay_compat(t):
-    return dwd_db.coupon_pay(v.changes(t), v.DATABASE, compat=True)
+    return dwd_db.coupon_pay(v.changes(t, "coupon_use"), v.DATABASE, compat=True)
 
 
 @query
 def favor_add(t):
-    return dwd_db.favor_add(v.changes(t), v.DATABASE)
+    return dwd_db.favor_add(v.changes(t, "favor_info"), v.DATABASE)
 
 
 @query
 def comment_lookup(t):
-    return dwd_db.comment(v.changes(t), v.dictionary(t.spark), v.DATABASE)
+    return dwd_db.comment(v.changes(t, "comment_info"), v.dictionary(t.spark), v.DATABASE)
 
 
 @query
 def user_register(t):
-    return dwd_db.user_register(v.changes(t), v.DATABASE)
+    return dwd_db.user_register(v.changes(t, "user_info"), v.DATABASE)
 
 
 @query
@@ -385,4 +386,4 @@ def ads_range_rollup(t):
     totals = ads.rollup(
         summary, ["trademark_id"], ["order_count", "order_amount"], since="1996-01-01 00:00:00", until="1999-01-01 00:00:00"
     )
-    return totals.withColumn("order_amount", F.round("order_amount", 1))
+    return totals.withColumn("order_amount", F.round("order_amount", 2))

@@ -36,7 +36,7 @@ log AS (
     CASE kind WHEN 'view' THEN 'home' WHEN 'click' THEN 'search' WHEN 'purchase' THEN 'login'
          WHEN 'error' THEN 'cart' END AS last_page_id,
     kind = 'error' AND k % 2 = 0 AS is_start, strftime(ts, '%Y-%m-%d') AS day
-  FROM (SELECT event_id AS log_id, epoch_ms(ts) AS ms, ts, CAST(user_id AS VARCHAR) AS mid,
+  FROM (SELECT event_id AS log_id, epoch_us(ts) // 1000 AS ms, ts, CAST(user_id AS VARCHAR) AS mid,
           CAST(user_id % 3 AS VARCHAR) AS vc, CAST(user_id % 4 AS VARCHAR) AS ch, CAST(user_id % 5 AS VARCHAR) AS ar,
           event_type AS kind, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)
 ),
@@ -308,12 +308,12 @@ ORACLE: dict[str, str] = {
         )
     },
     "favor_add": f"""SELECT {_txt('event_id')} AS id, {_txt('user_id')} AS user_id, json_extract_string(props, '$.k') AS sku_id,
-      {_day('ts')} AS date_id, {_second('ts')} AS create_time, {_txt('epoch_ms(ts) // 1000')} AS ts
+      {_day('ts')} AS date_id, {_second('ts')} AS create_time, {_txt('epoch_us(ts) // 1000000')} AS ts
       FROM events WHERE event_type = 'click'""",
     "comment_lookup": f"""WITH {DIC} SELECT {_txt('event_id')} AS id, {_txt('user_id')} AS user_id,
       json_extract_string(props, '$.k') AS sku_id, {_txt('event_id * 2')} AS order_id, {_day('ts')} AS date_id,
       {_second('ts')} AS create_time, dic.code AS appraise_code, dic.name AS appraise_name,
-      {_txt('epoch_ms(ts) // 1000')} AS ts
+      {_txt('epoch_us(ts) // 1000000')} AS ts
       FROM events JOIN dic ON '120' || (CAST(json_extract_string(props, '$.k') AS BIGINT) % 3 + 1) = dic.code
       WHERE event_type = 'purchase'""",
     "user_register": f"""SELECT {_txt('c_custkey')} AS user_id, {_day(REGISTERED)} AS date_id,
@@ -405,6 +405,6 @@ ORACLE: dict[str, str] = {
       {', '.join(f'CAST(sum({n}) AS BIGINT) AS {n}' for n in ('uv_ct', 'sv_ct', 'pv_ct', 'dur_sum', 'uj_ct'))}
       FROM traffic GROUP BY ALL""",
     "ads_range_rollup": f"""WITH {ORDER_LINES}, {DIMS}, {SKU_WINDOW}
-      SELECT trademark_id, CAST(sum(order_count) AS BIGINT) AS order_count, round(sum(order_amount), 1) AS order_amount
+      SELECT trademark_id, CAST(sum(order_count) AS BIGINT) AS order_count, round(sum(order_amount), 2) AS order_amount
       FROM sku_window WHERE stt >= '1996-01-01 00:00:00' AND edt <= '1999-01-01 00:00:00' GROUP BY ALL""",
 }

@@ -28,7 +28,8 @@ class Tables:
         moments = {
             f.name: F.col(f.name).cast("timestamp") for f in frame.schema.fields if f.dataType.typeName() == "timestamp_ntz"
         }
-        return frame.withColumns(moments) if moments else frame
+        self.__dict__[name] = frame.withColumns(moments) if moments else frame
+        return self.__dict__[name]
 
 
 def text(column: Column) -> Column:

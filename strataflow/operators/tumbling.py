@@ -41,7 +41,7 @@ def window_totals_per_member(
     count is refused.
     """
     per_member = rows.groupBy(F.window(moment, size).alias(_SPAN), *keys, member).agg(
-        *[F.sum(name).alias(name) for name in sums]
+        F.count("*").alias("_rows"), *[F.sum(name).alias(name) for name in sums]
     )
     again = F.window(F.window_time(_SPAN), size) if rows.isStreaming else F.col(_SPAN)
     # A NULL member joins no count, but its amounts do count.
