@@ -5,11 +5,15 @@ from __future__ import annotations
 from strataflow.catalog.batch import QUERIES as BATCH
 from strataflow.catalog.batch import Query
 from strataflow.catalog.sql import ORACLE
+from strataflow.catalog.streams import STREAMS
 
 
 def queries() -> dict[str, Query]:
-    return dict(BATCH)
+    return {**BATCH, **STREAMS}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: ORACLE[name] for name in queries() if name in ORACLE}
+    """A streaming query has the result, and so the SQL, of its batch form."""
+    return {
+        name: ORACLE[key] for name in queries() if (key := name.removeprefix("stream_")) in ORACLE
+    }

@@ -26,7 +26,8 @@ def _long_sum(column: Column) -> Column:
 
 
 def _timed(rows: DataFrame, millis: str = "ts") -> DataFrame:
-    return rows.withColumn("_at", from_millis(F.col(millis)))
+    """Event time ``_at``; a stream brings its own, which carries the watermark."""
+    return rows if "_at" in rows.columns else rows.withColumn("_at", from_millis(F.col(millis)))
 
 
 def _ordered(frame: DataFrame, table: str) -> DataFrame:
@@ -154,9 +155,9 @@ def _second_rows(rows: DataFrame, *keep: str) -> DataFrame:
     return _timed(rows.select(*keep, millis))
 
 
-def user_register(registered: DataFrame, size: str = DEFAULT_SIZE) -> DataFrame:
+def user_register(registered: DataFrame, size: str = DEFAULT_SIZE, delay: str = "3 seconds") -> DataFrame:
     """Users who signed up."""
-    counted = window_totals(_second_rows(registered), "_at", [], [F.count("*").alias("register_ct")], size)
+    counted = window_totals(_second_rows(registered).withWatermark("_at", delay), "_at", [], [F.count("*").alias("register_ct")], size)
     return _ordered(counted, "dws_user_user_register_window")
 
 
