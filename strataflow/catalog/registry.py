@@ -13,7 +13,6 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    """A streaming query has the result, and so the SQL, of its batch form."""
-    return {
-        name: ORACLE[key] for name in queries() if (key := name.removeprefix("stream_")) in ORACLE
-    }
+    """A streaming query has the result, and so the SQL, of its batch form, unless it has its own."""
+    keys = {name: name if name in ORACLE else name.removeprefix("stream_") for name in queries()}
+    return {name: ORACLE[key] for name, key in keys.items() if key in ORACLE}

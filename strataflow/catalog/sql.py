@@ -407,4 +407,11 @@ ORACLE: dict[str, str] = {
     "ads_range_rollup": f"""WITH {ORDER_LINES}, {DIMS}, {SKU_WINDOW}
       SELECT trademark_id, CAST(sum(order_count) AS BIGINT) AS order_count, round(sum(order_amount), 2) AS order_amount
       FROM sku_window WHERE stt >= '1996-01-01 00:00:00' AND edt <= '1999-01-01 00:00:00' GROUP BY ALL""",
+    # Streams joined within a time bound have results of their own.
+    "stream_order_pre_process": f"""WITH {LINES} SELECT id, order_id, user_id, order_status, sku_id, province_id,
+      activity_id, activity_rule_id, coupon_id, source_type_name, sku_num, split_original_amount, split_activity_amount,
+      split_coupon_amount, type FROM pre WHERE type = 'insert'""",
 }
+ORACLE["stream_pay_detail"] = f"SELECT * FROM ({ORACLE['pay_detail']}) WHERE CAST(order_id AS BIGINT) % 45 BETWEEN 1 AND 30"
+ORACLE["stream_order_refund"] = f"SELECT * EXCLUDE (ts) FROM ({ORACLE['order_refund']})"
+ORACLE["stream_refund_pay"] = f"SELECT * EXCLUDE (ts) FROM ({ORACLE['refund_pay']})"

@@ -10,17 +10,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataflow.catalog import views as v
 from strataflow.catalog.batch import AWAY_DAYS, BOUNCE_MS, HOUR, TIE, WEEK, Query, _ascii_words, _page_fields
-from strataflow.plans import dws
+from strataflow.functions import second_text
+from strataflow.operators.latest import keep_latest, latest_in_session
+from strataflow.operators.routing import split_log
+from strataflow.plans import dim, dwd_db, dwd_log, dws, ods
 from strataflow.session import scratch_path
+from strataflow.sinks import branch_messages
 from strataflow.streaming import jobs
+from strataflow.streaming.dims import DimensionStore, run_dimensions
 from strataflow.streaming.runner import run_available
 
 FAR = "2099-01-01"
+FAR_SECONDS = "4070908800"
 STREAMS: dict[str, Query] = {}
 
 
@@ -33,26 +39,28 @@ class StreamTables(v.Tables):
     def stream(self, name: str, **future: str) -> DataFrame:
         """``future`` gives column=SQL expression of the far-future row; other columns are NULL."""
         static = self.static().spark.read.parquet(f"{self.folder}/{name}.parquet")
-        return self._followed(static, f"{self.folder}/{name}*.parquet", name, future)
+        return self._followed(static, f"{self.folder}/{name}*.parquet", name, [future])
 
-    def staged(self, frame: DataFrame, name: str, **future: str) -> DataFrame:
+    def staged(self, frame: DataFrame, name: str, *futures: dict[str, str]) -> DataFrame:
         """A table Spark derives from the given ones, written out and read back as a stream."""
         path = scratch_path(self.spark, name)
         frame.write.parquet(path)
-        return self._followed(self.spark.read.parquet(path), path, name, future)
-
-    def _followed(self, static: DataFrame, path: str, name: str, future: dict[str, str]) -> DataFrame:
-        last = scratch_path(self.spark, f"{name}-future")
-        row = self.spark.range(1).select(
-            *[F.expr(future.get(f.name, "NULL")).cast(f.dataType).alias(f.name) for f in static.schema.fields]
-        )
-        row.write.parquet(last)
-        read = self.spark.readStream.schema(static.schema)
-        both = read.parquet(path).unionByName(read.parquet(last))
+        return self._followed(self.spark.read.parquet(path), path, name, futures)
+
+    def _followed(self, static: DataFrame, path: str, name: str, futures) -> DataFrame:
+        rows = self.spark.readStream.schema(static.schema).parquet(path)
+        if futures:
+            last = scratch_path(self.spark, f"{name}-future")
+            for future in futures:
+                row = self.spark.range(1).select(
+                    *[F.expr(future.get(f.name, "NULL")).cast(f.dataType).alias(f.name) for f in static.schema.fields]
+                )
+                row.write.mode("append").parquet(last)
+            rows = rows.unionByName(self.spark.readStream.schema(static.schema).parquet(last))
         moments = {
             f.name: F.col(f.name).cast("timestamp") for f in static.schema.fields if f.dataType.typeName() == "timestamp_ntz"
         }
-        return both.withColumns(moments) if moments else both
+        return rows.withColumns(moments) if moments else rows
 
 
 def stream_query(job: Callable[[StreamTables], DataFrame]):
@@ -112,3 +120,236 @@ def stream_keyword_window_count(t):
     documents = t.stream("documents", doc_id="39446640", text="'future'")
     pages = v.search_log(documents).withColumn("_at", F.timestamp_millis("ts")).withWatermark("_at", jobs.DELAY)
     return before_future(dws.keyword(pages, HOUR, _ascii_words))
+
+
+# --- log and summaries of single streams -----------------------------------------------------
+
+
+def stream_log_split_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """The split as one message stream with a topic per branch, counted from what was written."""
+    t = StreamTables(spark, folder)
+    static = t.static()
+    text = t.staged(v.log_text(static), "log-text")
+    branches = split_log(ods.parse_log(text))
+    written = run_available(branch_messages(branches, {name: name for name in branches}), "log-split")
+    return written.groupBy(F.col("topic").alias("branch")).agg(F.count("*").alias("n"))
+
+
+STREAMS["stream_log_split_counts"] = stream_log_split_counts
+
+
+@stream_query
+def stream_traffic_window(t):
+    static = t.static()
+    pages = v.page_log(static.events)
+    future = {
+        "ts": f"{FAR_SECONDS}000", "log_id": "-1",
+        "common": "named_struct('mid', '', 'uid', '', 'is_new', '', 'vc', '', 'ch', '', 'ar', '')",
+        "page": "named_struct('page_id', '', 'last_page_id', '', 'during_time', '0', 'item', '', 'item_type', '')",
+    }
+    visitors = t.staged(dwd_log.unique_visitors(pages, TIE), "visitors", future)
+    bounced = t.staged(dwd_log.bounced_pages(pages, BOUNCE_MS, TIE), "bounced", future)
+    counters = dws.traffic_counters(_pages(t), visitors, bounced).withWatermark("_at", jobs.TRAFFIC_DELAY)
+    return before_future(dws.traffic_totals(counters, HOUR))
+
+
+@stream_query
+def stream_register_window(t):
+    registered = t.staged(v.registrations(t.static()), "registrations", {"ts": FAR_SECONDS, "user_id": "'-1'"})
+    return before_future(dws.user_register(registered, HOUR))
+
+
+def _user_rows(t, rows, name):
+    return t.staged(rows, name, {"ts": FAR_SECONDS, "user_id": "'-1'"})
+
+
+@stream_query
+def stream_cart_add_uu(t):
+    return before_future(jobs.cart_add_uu(_user_rows(t, v.cart_additions(t.static()), "cart"), HOUR))
+
+
+@stream_query
+def stream_payment_uu(t):
+    return before_future(jobs.payment_suc(_user_rows(t, v.paid_orders(t.static()), "paid"), HOUR))
+
+
+@stream_query
+def stream_order_uu(t):
+    return before_future(jobs.trade_order(_user_rows(t, v.placed_orders(t.static()), "placed"), HOUR))
+
+
+def _lines(t):
+    future = {"id": "'-1'", "ts": FAR_SECONDS, "order_id": "'-1'", "sku_id": "'-1'", "province_id": "'-1'"}
+    return t.staged(v.order_lines(t.static()), "order-lines", future)
+
+
+@stream_query
+def stream_province_order_window(t):
+    lines = jobs.order_lines_latest(_lines(t), v.LINE_TIE, WEEK)
+    provinces = v.dimensions(t.static())["base_province"]
+    return before_future(dws.province_named(dws.province_totals(lines, WEEK), provinces))
+
+
+@stream_query
+def stream_sku_order_window(t):
+    lines = jobs.order_lines_latest(_lines(t), v.LINE_TIE, WEEK)
+    return before_future(dws.sku_named(dws.sku_totals(lines, WEEK), v.dimensions(t.static())))
+
+
+@stream_query
+def stream_brand_category_user_refund(t):
+    dims = v.dimensions(t.static())
+    refunds = t.staged(v.refund_lines(t.static()), "refunds", {"ts": FAR_SECONDS, "user_id": "'-1'", "order_id": "'-1'"})
+    lines = dws.refund_lines(refunds, dims["sku_info"]).withWatermark("_at", jobs.DELAY)
+    return before_future(dws.refund_result(dws.refund_totals(lines, WEEK), dims))
+
+
+@stream_query
+def stream_latest_in_burst(t):
+    lines = _lines(t).withColumn("at", F.timestamp_seconds(F.col("ts").cast("long"))).withWatermark("at", jobs.DELAY)
+    rows = latest_in_session(lines, ["id"], "at", ["row_op_ts", *v.LINE_TIE], "5 seconds").where(F.col("id") != "-1")
+    return rows.select("id", "sku_id", "split_total_amount", second_text(F.col("row_op_ts")).alias("row_op_ts"))
+
+
+# --- change streams --------------------------------------------------------------------------
+
+
+@stream_query
+def stream_cart_add(t):
+    feed = t.staged(v.changes(t.static(), "cart_info"), "cart-changes")
+    return dwd_db.cart_add(feed, v.dictionary(t.spark), v.DATABASE)
+
+
+def stream_dim_upsert_latest(spark: SparkSession, folder: str) -> DataFrame:
+    t = StreamTables(spark, folder)
+    feed = t.staged(v.changes(t.static(), "sku_info", "user_info", "base_province", "base_region"), "dim-changes")
+    base = scratch_path(spark, "dims")
+    store = DimensionStore(spark, f"{base}/rows")
+    config = lambda: dim.default_config(spark)
+    run_dimensions(feed, config, store, f"{base}/checkpoint", v.DATABASE, {"availableNow": True}).awaitTermination()
+    return store.rows().select(
+        "sink_table", "id", F.coalesce(F.col("data")["sku_name"], F.col("data")["name"]).alias("name"), "operate_type"
+    )
+
+
+STREAMS["stream_dim_upsert_latest"] = stream_dim_upsert_latest
+
+
+def _placed_near_order(t: v.Tables, rows: DataFrame, order: Column, seconds: Column) -> DataFrame:
+    """Change rows moved to ``seconds`` after the date of their order, as a live feed would have them."""
+    dates = t.orders.select(F.col("o_orderkey").cast("string").alias("_key"), F.unix_seconds("o_orderdate").alias("_placed"))
+    moved = rows.withColumn("_key", order).join(dates, "_key")
+    return moved.withColumn("ts", F.col("_placed") + seconds).select(*rows.columns)
+
+
+def _latest_change(rows: DataFrame, key: str, *order: str) -> DataFrame:
+    """Latest version of a change row, so that a stream meets each id once."""
+    named = rows.withColumns({"_k": F.col("data")[key], **{f"_o{i}": F.col("data")[c] for i, c in enumerate(order)}})
+    return keep_latest(named, ["_k"], ["ts", *[f"_o{i}" for i in range(len(order))]]).select(*rows.columns)
+
+
+def _order_of(key: str):
+    return F.substring_index(F.col("data")[key], "-", 1)
+
+
+def _line_of(key: str):
+    return F.substring_index(F.col("data")[key], "-", -1).cast("long")
+
+
+def _future_change(table: str, kind: str, data: str, old: str = "NULL") -> dict[str, str]:
+    return {
+        "database": f"'{v.DATABASE}'", "table": f"'{table}'", "type": f"'{kind}'", "ts": FAR_SECONDS, "data": data, "old": old,
+    }
+
+
+LINE_ORDER = ("sku_id", "sku_num", "source_type", "source_id", "split_total_amount")
+
+
+@stream_query
+def stream_order_pre_process(t):
+    """Lines, orders, activities and coupons as streams, joined within ten seconds of each other."""
+    s = t.static()
+    lines = _latest_change(v.order_detail_changes(s), "id", *LINE_ORDER)
+    activities = _latest_change(v.activity_changes(s), "order_detail_id", "activity_id", "activity_rule_id")
+    coupons = _latest_change(v.coupon_changes(s), "order_detail_id", "coupon_id")
+    feed = (
+        _placed_near_order(s, lines, F.col("data")["order_id"], _line_of("id"))
+        .unionByName(_placed_near_order(s, activities, _order_of("order_detail_id"), _line_of("order_detail_id") + 2))
+        .unionByName(_placed_near_order(s, coupons, _order_of("order_detail_id"), _line_of("order_detail_id") + 2))
+        .unionByName(v.order_info_changes(s))
+    )
+    stream = t.staged(
+        feed, "order-feed",
+        _future_change("order_detail", "insert", "map('id', 'future', 'order_id', 'future', 'source_type', '2401')"),
+        _future_change("order_info", "insert", "map('id', 'future')"),
+        _future_change("order_detail_activity", "insert", "map('order_detail_id', 'future')"),
+        _future_change("order_detail_coupon", "insert", "map('order_detail_id', 'future')"),
+    )
+    rows = dwd_db.order_pre_process(stream, v.dictionary(t.spark), v.DATABASE, hold=dwd_db.ORDER_HOLD)
+    return rows.where(F.col("id") != "future").select(*PRE_FIELDS)
+
+
+PRE_FIELDS = (
+    "id", "order_id", "user_id", "order_status", "sku_id", "province_id", "activity_id", "activity_rule_id", "coupon_id",
+    "source_type_name", "sku_num", "split_original_amount", "split_activity_amount", "split_coupon_amount", "type",
+)
+
+
+@stream_query
+def stream_pay_detail(t):
+    """Payments meet the lines of their order when these came at most thirty minutes before."""
+    s = t.static()
+    feed = v.changes(s, "order_detail", "order_info", "order_detail_activity", "order_detail_coupon")
+    details = dwd_db.order_detail(dwd_db.order_pre_process(feed, v.dictionary(t.spark), v.DATABASE))
+    dates = s.orders.select(F.col("o_orderkey").cast("string").alias("order_id"), F.unix_seconds("o_orderdate").alias("_placed"))
+    placed = details.join(dates, "order_id")
+    placed = placed.withColumn("ts", (F.col("_placed") + F.substring_index("id", "-", -1).cast("long")).cast("string"))
+    lines = t.staged(
+        placed.select(*details.columns), "detail-topic", {"id": "'future'", "order_id": "'future'", "ts": f"'{FAR_SECONDS}'"}
+    )
+    payments = t.staged(
+        v.changes(s, "payment_info"), "payments",
+        _future_change(
+            "payment_info", "update", "map('order_id', 'none', 'payment_status', '1602')", "map('payment_status', '1601')"
+        ),
+    )
+    rows = dwd_db.pay_detail(payments, lines, v.dictionary(t.spark), v.DATABASE, hold=dwd_db.PAYMENT_HOLD)
+    return rows.drop("_pay_at", "row_op_ts")
+
+
+REFUND_ORDER = ("user_id", "sku_id", "refund_num", "refund_amount", "refund_type", "refund_reason_type")
+
+
+@stream_query
+def stream_order_refund(t):
+    s = t.static()
+    refunds = _latest_change(v.refund_changes(s), "id", *REFUND_ORDER)
+    near = _placed_near_order(s, refunds, F.col("data")["order_id"], F.lit(7200) + _line_of("id"))
+    stream = t.staged(
+        near.unionByName(v.order_info_changes(s)), "refund-feed",
+        _future_change("order_refund_info", "insert", "map('id', 'future', 'order_id', 'future')"),
+        _future_change("order_info", "update", "map('id', 'none', 'order_status', '1005')", "map('order_status', '1001')"),
+    )
+    rows = dwd_db.order_refund(stream, v.dictionary(t.spark), v.DATABASE, hold=dwd_db.ORDER_HOLD)
+    return rows.drop("_ri_at", "row_op_ts", "ts")
+
+
+@stream_query
+def stream_refund_pay(t):
+    s = t.static()
+    asked = _latest_change(v.refund_changes(s), "id", "refund_num", "order_id", "sku_id")
+    paid = _latest_change(v.refund_payment_changes(s), "id", "sku_id", "payment_type", "total_amount")
+    later = F.lit(10800)
+    feed = (
+        _placed_near_order(s, asked, F.col("data")["order_id"], later + 1)
+        .unionByName(_placed_near_order(s, paid, F.col("data")["order_id"], later + _line_of("id")))
+        .unionByName(v.order_info_changes(s))
+    )
+    stream = t.staged(
+        feed, "refund-pay-feed",
+        _future_change("refund_payment", "insert", "map('id', 'future', 'order_id', 'future', 'sku_id', 'future')"),
+        _future_change("order_refund_info", "insert", "map('id', 'future', 'order_id', 'none', 'sku_id', 'none')"),
+        _future_change("order_info", "update", "map('id', 'none', 'order_status', '1006')", "map('order_status', '1001')"),
+    )
+    rows = dwd_db.refund_pay(stream, v.dictionary(t.spark), v.DATABASE, hold=dwd_db.ORDER_HOLD)
+    return rows.drop("_rp_at", "row_op_ts", "ts")

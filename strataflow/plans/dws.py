@@ -299,7 +299,8 @@ def trademark_category_user_refund(
     refunds: DataFrame, dims: dict[str, DataFrame], size: str = DEFAULT_SIZE, missing: str = "null"
 ) -> DataFrame:
     """Refunded orders per trademark, category and user."""
-    totals = refund_totals(refund_lines(refunds, dims["sku_info"]), size)
-    return _ordered(
-        with_categories(totals, dims, missing), "dws_trade_trademark_category_user_refund_window"
-    )
+    return refund_result(refund_totals(refund_lines(refunds, dims["sku_info"]), size), dims, missing)
+
+
+def refund_result(totals: DataFrame, dims: dict[str, DataFrame], missing: str = "null") -> DataFrame:
+    return _ordered(with_categories(totals, dims, missing), "dws_trade_trademark_category_user_refund_window")
