@@ -27,6 +27,7 @@ from strataflow.streaming.runner import run_available
 
 FAR = "2099-01-01"
 FAR_SECONDS = "4070908800"
+BEYOND = f"stt >= '{FAR}'"
 STREAMS: dict[str, Query] = {}
 
 
@@ -64,15 +65,21 @@ class StreamTables(v.Tables):
 
 
 def stream_query(job: Callable[[StreamTables], DataFrame]):
-    def run(spark: SparkSession, folder: str) -> DataFrame:
-        return run_available(job(StreamTables(spark, folder)), job.__name__)
+    return stream_query_without("false")(job)
 
-    STREAMS[job.__name__] = run
-    return job
 
+def stream_query_without(future: str):
+    """``future`` tells the far-future rows of the result. They are left out of the written table: a
+    filter on the stream would be pushed below the watermark and hold it back."""
 
-def before_future(frame: DataFrame) -> DataFrame:
-    return frame.where(F.col("stt") < FAR)
+    def register(job: Callable[[StreamTables], DataFrame]):
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            return run_available(job(StreamTables(spark, folder)), job.__name__).where(f"NOT ({future})")
+
+        STREAMS[job.__name__] = run
+        return job
+
+    return register
 
 
 def _events(t: StreamTables, kind: str = "signup") -> DataFrame:
@@ -85,41 +92,37 @@ def _pages(t):
     return v.page_log(_events(t))
 
 
-def _real(rows):
-    return rows.where(F.col("log_id") >= 0)
-
-
-@stream_query
+@stream_query_without(BEYOND)
 def stream_home_detail_uv(t):
-    return before_future(jobs.home_detail(_pages(t), HOUR))
+    return jobs.home_detail(_pages(t), HOUR)
 
 
-@stream_query
+@stream_query_without(BEYOND)
 def stream_login_back(t):
-    return before_future(jobs.user_login(_pages(t), HOUR, AWAY_DAYS))
+    return jobs.user_login(_pages(t), HOUR, AWAY_DAYS)
 
 
-@stream_query
+@stream_query_without("log_id < 0")
 def stream_unique_visitor_detail(t):
-    return _page_fields(_real(jobs.unique_visitors(_pages(t), TIE)))
+    return _page_fields(jobs.unique_visitors(_pages(t), TIE))
 
 
-@stream_query
+@stream_query_without("log_id < 0")
 def stream_bounce_detail(t):
-    return _page_fields(_real(jobs.bounces(_pages(t), BOUNCE_MS, "log_id")))
+    return _page_fields(jobs.bounces(_pages(t), BOUNCE_MS, "log_id"))
 
 
-@stream_query
+@stream_query_without("log_id < 0")
 def stream_visitor_flag_repair(t):
     rows = jobs.repaired(v.log_records(_events(t)), TIE)
-    return _real(rows).select("log_id", "common.mid", "common.is_new")
+    return rows.select("log_id", "common.mid", "common.is_new")
 
 
-@stream_query
+@stream_query_without(BEYOND)
 def stream_keyword_window_count(t):
     documents = t.stream("documents", doc_id="39446640", text="'future'")
     pages = v.search_log(documents).withColumn("_at", F.timestamp_millis("ts")).withWatermark("_at", jobs.DELAY)
-    return before_future(dws.keyword(pages, HOUR, _ascii_words))
+    return dws.keyword(pages, HOUR, _ascii_words)
 
 
 # --- log and summaries of single streams -----------------------------------------------------
@@ -138,7 +141,7 @@ def stream_log_split_counts(spark: SparkSession, folder: str) -> DataFrame:
 STREAMS["stream_log_split_counts"] = stream_log_split_counts
 
 
-@stream_query
+@stream_query_without(BEYOND)
 def stream_traffic_window(t):
     static = t.static()
     pages = v.page_log(static.events)
@@ -150,32 +153,32 @@ def stream_traffic_window(t):
     visitors = t.staged(dwd_log.unique_visitors(pages, TIE), "visitors", future)
     bounced = t.staged(dwd_log.bounced_pages(pages, BOUNCE_MS, TIE), "bounced", future)
     counters = dws.traffic_counters(_pages(t), visitors, bounced).withWatermark("_at", jobs.TRAFFIC_DELAY)
-    return before_future(dws.traffic_totals(counters, HOUR))
+    return dws.traffic_totals(counters, HOUR)
 
 
-@stream_query
+@stream_query_without(BEYOND)
 def stream_register_window(t):
     registered = t.staged(v.registrations(t.static()), "registrations", {"ts": FAR_SECONDS, "user_id": "'-1'"})
-    return before_future(dws.user_register(registered, HOUR))
+    return dws.user_register(registered, HOUR)
 
 
 def _user_rows(t, rows, name):
     return t.staged(rows, name, {"ts": FAR_SECONDS, "user_id": "'-1'"})
 
 
-@stream_query
+@stream_query_without(BEYOND)
 def stream_cart_add_uu(t):
-    return before_future(jobs.cart_add_uu(_user_rows(t, v.cart_additions(t.static()), "cart"), HOUR))
+    return jobs.cart_add_uu(_user_rows(t, v.cart_additions(t.static()), "cart"), HOUR)
 
 
-@stream_query
+@stream_query_without(BEYOND)
 def stream_payment_uu(t):
-    return before_future(jobs.payment_suc(_user_rows(t, v.paid_orders(t.static()), "paid"), HOUR))
+    return jobs.payment_suc(_user_rows(t, v.paid_orders(t.static()), "paid"), HOUR)
 
 
-@stream_query
+@stream_query_without(BEYOND)
 def stream_order_uu(t):
-    return before_future(jobs.trade_order(_user_rows(t, v.placed_orders(t.static()), "placed"), HOUR))
+    return jobs.trade_order(_user_rows(t, v.placed_orders(t.static()), "placed"), HOUR)
 
 
 def _lines(t):
@@ -183,31 +186,31 @@ def _lines(t):
     return t.staged(v.order_lines(t.static()), "order-lines", future)
 
 
-@stream_query
+@stream_query_without(BEYOND)
 def stream_province_order_window(t):
     lines = jobs.order_lines_latest(_lines(t), v.LINE_TIE, WEEK)
     provinces = v.dimensions(t.static())["base_province"]
-    return before_future(dws.province_named(dws.province_totals(lines, WEEK), provinces))
+    return dws.province_named(dws.province_totals(lines, WEEK), provinces)
 
 
-@stream_query
+@stream_query_without(BEYOND)
 def stream_sku_order_window(t):
     lines = jobs.order_lines_latest(_lines(t), v.LINE_TIE, WEEK)
-    return before_future(dws.sku_named(dws.sku_totals(lines, WEEK), v.dimensions(t.static())))
+    return dws.sku_named(dws.sku_totals(lines, WEEK), v.dimensions(t.static()))
 
 
-@stream_query
+@stream_query_without(BEYOND)
 def stream_brand_category_user_refund(t):
     dims = v.dimensions(t.static())
     refunds = t.staged(v.refund_lines(t.static()), "refunds", {"ts": FAR_SECONDS, "user_id": "'-1'", "order_id": "'-1'"})
     lines = dws.refund_lines(refunds, dims["sku_info"]).withWatermark("_at", jobs.DELAY)
-    return before_future(dws.refund_result(dws.refund_totals(lines, WEEK), dims))
+    return dws.refund_result(dws.refund_totals(lines, WEEK), dims)
 
 
-@stream_query
+@stream_query_without("id = '-1'")
 def stream_latest_in_burst(t):
     lines = _lines(t).withColumn("at", F.timestamp_seconds(F.col("ts").cast("long"))).withWatermark("at", jobs.DELAY)
-    rows = latest_in_session(lines, ["id"], "at", ["row_op_ts", *v.LINE_TIE], "5 seconds").where(F.col("id") != "-1")
+    rows = latest_in_session(lines, ["id"], "at", ["row_op_ts", *v.LINE_TIE], "5 seconds")
     return rows.select("id", "sku_id", "split_total_amount", second_text(F.col("row_op_ts")).alias("row_op_ts"))
 
 
@@ -265,7 +268,7 @@ def _future_change(table: str, kind: str, data: str, old: str = "NULL") -> dict[
 LINE_ORDER = ("sku_id", "sku_num", "source_type", "source_id", "split_total_amount")
 
 
-@stream_query
+@stream_query_without("id = 'future'")
 def stream_order_pre_process(t):
     """Lines, orders, activities and coupons as streams, joined within ten seconds of each other."""
     s = t.static()
@@ -286,7 +289,7 @@ def stream_order_pre_process(t):
         _future_change("order_detail_coupon", "insert", "map('order_detail_id', 'future')"),
     )
     rows = dwd_db.order_pre_process(stream, v.dictionary(t.spark), v.DATABASE, hold=dwd_db.ORDER_HOLD)
-    return rows.where(F.col("id") != "future").select(*PRE_FIELDS)
+    return rows.select(*PRE_FIELDS)
 
 
 PRE_FIELDS = (
