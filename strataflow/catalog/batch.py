@@ -97,7 +97,7 @@ def log_split_counts(t):
 
 
 def _branch(t, name):
-    return dwd_log.log_branches(v.log_records(t.events), carry=TIE, tie=TIE)[name]
+    return dwd_log.log_branches(v.log_records(t.events), carry=TIE)[name]
 
 
 @query
@@ -131,7 +131,7 @@ def log_page_rows(t):
 
 @query
 def visitor_flag_repair(t):
-    rows = dwd_log.repaired(v.log_records(t.events), TIE)
+    rows = dwd_log.repaired(v.log_records(t.events))
     return rows.select("log_id", "common.mid", "common.is_new")
 
 

@@ -45,7 +45,7 @@ fixed AS (
   SELECT * EXCLUDE (is_new, fd),
     CASE WHEN is_new = '1' AND day <> fd THEN '0' ELSE is_new END AS is_new
   FROM (SELECT *, first_value(CASE WHEN is_new = '1' THEN day ELSE strftime(ts - INTERVAL 1 DAY, '%Y-%m-%d') END)
-          OVER (PARTITION BY mid ORDER BY ms, log_id) AS fd FROM log)
+          OVER (PARTITION BY mid ORDER BY ms, is_new DESC, log_id) AS fd FROM log)
 ),
 uv AS (SELECT * FROM page QUALIFY row_number() OVER (PARTITION BY mid, day ORDER BY ms, log_id) = 1),
 followed AS (

@@ -114,7 +114,7 @@ def stream_bounce_detail(t):
 
 @stream_query_without("log_id < 0")
 def stream_visitor_flag_repair(t):
-    rows = jobs.repaired(v.log_records(_events(t)), TIE)
+    rows = jobs.repaired(v.log_records(_events(t)))
     return rows.select("log_id", "common.mid", "common.is_new")
 
 

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HEAVY_KEYS = 1000
-SPREAD = 64
 
 
 def join_dictionary(rows: DataFrame, dictionary: DataFrame, code: str, name: str) -> DataFrame:
@@ -52,31 +51,21 @@ def count_missing(rows: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
 
 
 def attach_per_key(
-    rows: DataFrame, per_key: DataFrame, keys: Sequence[str], values: Sequence[str], weight: str, spread_by: str
+    rows: DataFrame, per_key: DataFrame, keys: Sequence[str], values: Sequence[str], weight: str
 ) -> DataFrame:
     """Left-join one-row-per-key ``per_key`` to ``rows`` without sending a hot key to one task.
 
     ``weight`` is the number of rows behind each key. The ``HEAVY_KEYS`` heaviest keys are broadcast,
-    so that side has a fixed bound, and every other key holds less than 1/HEAVY_KEYS of the rows.
-    Rows of a heavy key, and rows with a NULL key, are dealt out over ``SPREAD`` partitions of the
-    shuffle join, where they find no partner and need none. The spread is a hash of ``spread_by``,
-    not a random value, so a retried task deals them out the same way.
+    so that side has a fixed bound, and their rows are answered where they lie; so are rows with a
+    NULL key, which have no partner. Only the other rows are shuffled, and of those no key can hold
+    more than 1/HEAVY_KEYS of the input.
     """
-    heavy = (
-        per_key.orderBy(F.col(weight).desc(), *keys)
-        .limit(HEAVY_KEYS)
-        .select(*keys, F.lit(True).alias("_heavy"), *[F.col(v).alias(f"_heavy_{v}") for v in values])
-    )
-    keyless = F.lit(False)
+    counted = per_key.where(F.col(weight) > 0)  # always true; keeps all uses of per_key one plan
+    heavy = counted.orderBy(F.col(weight).desc(), *keys).limit(HEAVY_KEYS).select(*keys, F.struct(*values).alias("_hit"))
+    settled = F.col("_hit").isNotNull()
     for key in keys:
-        keyless = keyless | F.col(key).isNull()
-    dealt = F.lit(1) + F.pmod(F.xxhash64(spread_by), F.lit(SPREAD)).cast("int")
-    marked = rows.join(F.broadcast(heavy), list(keys), "left").withColumn(
-        "_slot", F.when(F.col("_heavy") | keyless, dealt).otherwise(0)
-    )
-    light = per_key.select(*keys, *values, F.lit(0).alias("_slot"))
-    joined = marked.join(light, [*keys, "_slot"], "left")
-    return joined.select(
-        *[F.col(name) for name in rows.columns],
-        *[F.coalesce(F.col(f"_heavy_{v}"), F.col(v)).alias(v) for v in values],
-    )
+        settled = settled | F.col(key).isNull()
+    marked = rows.join(F.broadcast(heavy), list(keys), "left")
+    in_place = marked.where(settled).select(*rows.columns, *[F.col("_hit")[v].alias(v) for v in values])
+    shuffled = marked.where(~settled).select(*rows.columns).join(counted.select(*keys, *values), list(keys), "left")
+    return in_place.unionByName(shuffled.select(*rows.columns, *values))

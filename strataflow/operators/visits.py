@@ -16,33 +16,41 @@ from strataflow.operators.latest import keep_earliest
 from strataflow.operators.lookup import attach_per_key
 
 
-def repair_visitor_flag(
-    rows: DataFrame, device: str = "mid", flag: str = "is_new", millis: str = "ts", tie: Sequence[str] = ()
-) -> DataFrame:
+def first_claims(flag: str, millis: str) -> list[Column]:
+    """Aggregates for the first row of a device: its time if it claims to be new, and if it does not.
+
+    Two plain minima instead of a row picked by time, so the aggregate hashes and needs no sort.
+    """
+    claims = F.coalesce(F.col(flag) == "1", F.lit(False))
+    return [
+        F.min(F.when(claims, F.col(millis))).alias("_new_at"),
+        F.min(F.when(~claims, F.col(millis))).alias("_old_at"),
+    ]
+
+
+def first_day() -> Column:
+    """First day out of :func:`first_claims`; at equal time the row that claims to be new is first."""
+    is_new = F.col("_old_at").isNull() | (F.col("_new_at") <= F.col("_old_at"))
+    return F.when(is_new, day_of(from_millis(F.col("_new_at")))).otherwise(
+        day_of(from_millis(F.col("_old_at")) - F.expr("INTERVAL 1 DAY"))
+    )
+
+
+def repair_visitor_flag(rows: DataFrame, device: str = "mid", flag: str = "is_new", millis: str = "ts") -> DataFrame:
     """Set ``flag`` to '0' where a device claims to be new on a day that is not its first.
 
     The first day of a device is the day of its first row if that row claims '1', else the day
     before it. Flags other than '1' stay as they are. Rows without a device pass unchanged.
     """
-    moment = from_millis(F.col(millis))
     first = (
         rows.where(F.col(device).isNotNull())
         .groupBy(device)
-        .agg(
-            F.min_by(F.struct(F.col(flag).alias("claim"), F.col(millis).alias("at")), F.struct(millis, *tie)).alias("_f"),
-            F.count("*").alias("_rows"),
-        )
-        .select(
-            device,
-            F.when(F.col("_f.claim") == "1", day_of(from_millis(F.col("_f.at"))))
-            .otherwise(day_of(from_millis(F.col("_f.at")) - F.expr("INTERVAL 1 DAY")))
-            .alias("_first_day"),
-            "_rows",
-        )
+        .agg(*first_claims(flag, millis), F.count("*").alias("_rows"))
+        .select(device, first_day().alias("_first_day"), "_rows")
     )
-    known = attach_per_key(rows, first, [device], ["_first_day"], weight="_rows", spread_by=millis)
-    repaired = F.when((F.col(flag) == "1") & (day_of(moment) != F.col("_first_day")), F.lit("0")).otherwise(F.col(flag))
-    return known.withColumn(flag, repaired).select(*rows.columns)
+    known = attach_per_key(rows, first, [device], ["_first_day"], weight="_rows")
+    wrong = (F.col(flag) == "1") & (day_of(from_millis(F.col(millis))) != F.col("_first_day"))
+    return known.withColumn(flag, F.when(wrong, F.lit("0")).otherwise(F.col(flag))).select(*rows.columns)
 
 
 def daily_first_rows(
@@ -89,8 +97,9 @@ def bounces(
     away does not matter, so the slices decide alone and a hot device spreads over many tasks.
     """
     slice_ms = slice_ms or 20 * within_ms
-    own = F.floor(F.col(millis) / slice_ms).cast("long")
-    near_start = F.pmod(F.col(millis), F.lit(slice_ms)) < within_ms
+    into_slice = F.pmod(F.col(millis), F.lit(slice_ms))
+    own = F.call_function("div", F.col(millis) - into_slice, F.lit(slice_ms))
+    near_start = into_slice < within_ms
     order = [millis, *tie]
     slim = rows.where(F.col(device).isNotNull()).select(
         F.col(device).alias("_device"),

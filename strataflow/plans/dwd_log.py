@@ -23,16 +23,16 @@ def is_entry(previous: str = "page.last_page_id"):
     return is_blank(F.col(previous))
 
 
-def repaired(records: DataFrame, tie: tuple[str, ...] = ()) -> DataFrame:
+def repaired(records: DataFrame) -> DataFrame:
     """Log records with a repaired new-visitor flag in ``common``."""
     lifted = with_keys(records).withColumn("_flag", F.col("common.is_new"))
-    fixed = repair_visitor_flag(lifted, device="_mid", flag="_flag", tie=tie)
+    fixed = repair_visitor_flag(lifted, device="_mid", flag="_flag")
     return fixed.withColumn("common", F.col("common").withField("is_new", F.col("_flag"))).select(*records.columns)
 
 
-def log_branches(records: DataFrame, carry: tuple[str, ...] = (), tie: tuple[str, ...] = ()) -> dict[str, DataFrame]:
+def log_branches(records: DataFrame, carry: tuple[str, ...] = ()) -> dict[str, DataFrame]:
     """Repair the flag, then split: err, start, display, action, page."""
-    return split_log(repaired(records, tie), carry)
+    return split_log(repaired(records), carry)
 
 
 def unique_visitors(pages: DataFrame, tie: tuple[str, ...] = ()) -> DataFrame:

@@ -30,6 +30,21 @@ def build_session(app: str = "strataflow", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+def sized_for(input_bytes: int, cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a batch over ``input_bytes``: partitions that fit in executor memory.
+
+    The shuffle starts with enough partitions for the whole input, at least three per core, and
+    adaptive execution merges the small ones; a partition well over its size counts as skewed.
+    """
+    partitions = min(max(-(-input_bytes // partition_bytes), 3 * cores), 200_000)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * partition_bytes),
+    }
+
+
 def use_utc(spark: SparkSession) -> SparkSession:
     """Day and window bounds are text in the session zone, so every job pins it to UTC."""
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":

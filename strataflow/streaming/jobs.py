@@ -13,8 +13,8 @@ from pyspark.sql import types as T
 
 from strataflow.functions import day_of, from_millis
 from strataflow.operators.latest import latest_in_window
-from strataflow.operators.lookup import SPREAD
 from strataflow.operators.tumbling import DEFAULT_SIZE
+from strataflow.operators.visits import first_claims, first_day
 from strataflow.plans import dwd_log, dws
 from strataflow.plans.dwd_log import is_entry
 from strataflow.streaming.processors import Bounce, DailyFirst, FirstDay
@@ -109,8 +109,9 @@ def bounces(
     it stays small, ends by itself, and a backlog of one device is worked on by many tasks."""
     slice_ms = slice_ms or 20 * within_ms
     rows = with_event_time(dwd_log.with_keys(pages).where(F.col("_mid").isNotNull()), delay)
-    own = F.floor(F.col("ts") / slice_ms).cast("long")
-    near_start = F.pmod("ts", F.lit(slice_ms)) < within_ms
+    into_slice = F.pmod("ts", F.lit(slice_ms))
+    own = F.call_function("div", F.col("ts") - into_slice, F.lit(slice_ms))
+    near_start = into_slice < within_ms
     slices = rows.select(
         "_mid", "_at", F.col("ts").alias("millis"), (F.col(tie).cast("long") if tie else F.lit(0)).alias("tie"),
         is_entry().alias("entry"), own.alias("_own"),
@@ -125,7 +126,7 @@ def bounces(
     return _payload_rows(found, pages)
 
 
-def repaired(records: DataFrame, tie: Sequence[str] = (), size: str = DEFAULT_SIZE, delay: str = DELAY) -> DataFrame:
+def repaired(records: DataFrame, size: str = DEFAULT_SIZE, delay: str = DELAY) -> DataFrame:
     """Log records with a repaired new-visitor flag.
 
     The first record of each device and window goes through the keyed state that knows the device's
@@ -133,17 +134,13 @@ def repaired(records: DataFrame, tie: Sequence[str] = (), size: str = DEFAULT_SI
     one row per device and window, and the records of a hot device are dealt out over ``SALTS`` join
     partitions. Records without a device pass in a branch of their own.
     """
-    rows = with_event_time(dwd_log.with_keys(records), delay).where(F.col("_mid").isNotNull())
-    windows = rows.groupBy(F.window("_at", size).alias("_span"), "_mid").agg(
-        F.min_by(F.struct(F.col("common.is_new").alias("claim"), "ts"), F.struct("ts", *tie)).alias("_f")
-    )
-    moment = from_millis(F.col("_f.ts"))
+    lifted = dwd_log.with_keys(records).withColumn("_flag", F.col("common.is_new"))
+    rows = with_event_time(lifted, delay).where(F.col("_mid").isNotNull())
+    windows = rows.groupBy(F.window("_at", size).alias("_span"), "_mid").agg(*first_claims("_flag", "ts"))
     firsts = windows.select(
         "_mid",
-        F.col("_f.ts").alias("millis"),
-        F.col("_f.claim").alias("claim"),
-        day_of(moment).alias("day"),
-        day_of(moment - F.expr("INTERVAL 1 DAY")).alias("day_before"),
+        F.least("_new_at", "_old_at").alias("millis"),
+        first_day().alias("day"),
         F.window_time("_span").alias("_end"),
     )
     output = T.StructType([*firsts.schema.fields, T.StructField("first_day", T.StringType())])
@@ -153,7 +150,7 @@ def repaired(records: DataFrame, tie: Sequence[str] = (), size: str = DEFAULT_SI
         F.col("_mid").alias("_known_mid"), "_end", "first_day",
         F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_known_salt"),
     )
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64("ts", *tie), F.lit(SALTS)).cast("int"))
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64("ts"), F.lit(SALTS)).cast("int"))
     joined = salted.join(
         known,
         (F.col("_mid") == F.col("_known_mid"))
@@ -161,8 +158,8 @@ def repaired(records: DataFrame, tie: Sequence[str] = (), size: str = DEFAULT_SI
         & (F.col("_at") <= F.col("_end"))
         & (F.col("_at") > F.col("_end") - F.expr(f"INTERVAL {size}")),
     )
-    wrong = (F.col("common.is_new") == "1") & (day_of(F.col("_at")) != F.col("first_day"))
-    fixed = F.when(wrong, F.lit("0")).otherwise(F.col("common.is_new"))
+    wrong = (F.col("_flag") == "1") & (day_of(F.col("_at")) != F.col("first_day"))
+    fixed = F.when(wrong, F.lit("0")).otherwise(F.col("_flag"))
     named = joined.withColumn("common", F.col("common").withField("is_new", fixed)).select(*records.columns)
     return named.unionByName(records.where(F.col("common.mid").isNull()))
 

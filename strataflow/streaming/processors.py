@@ -53,10 +53,8 @@ class DailyFirst(StatefulProcessor):
 
 
 class FirstDay(StatefulProcessor):
-    """First day of a device: input one row per device and closed window, output that row with it.
-
-    The first row ever decides: its own day when it claims to be new, else the day before.
-    """
+    """First day of a device: input one row per device and closed window with the first day it would
+    mean, output those rows with the first day the device's first window meant."""
 
     def __init__(self, columns: list[str]):
         self._columns = columns
@@ -69,8 +67,7 @@ class FirstDay(StatefulProcessor):
         if self._first.exists():
             day = self._first.get()[0]
         else:
-            head = frame.iloc[0]
-            day = head["day"] if head["claim"] == "1" else head["day_before"]
+            day = frame["day"].iloc[0]
             self._first.update((day,))
         yield frame.assign(first_day=day)
 
