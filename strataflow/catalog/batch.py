@@ -12,7 +12,7 @@ from strataflow.functions import camel_case, distinct_words, second_text
 from strataflow.operators.changes import added_quantity, changed_to, table_rows, upsert_rows
 from strataflow.operators.latest import latest_in_session
 from strataflow.operators.lookup import count_missing
-from strataflow.operators.routing import split_log
+from strataflow.operators.routing import split_messages
 from strataflow.operators.timed_join import bounded_join
 from strataflow.plans import ads, dim, dwd_db, dwd_log, dws, ods
 
@@ -88,12 +88,16 @@ def cdc_cart_delta(t):
 
 @query
 def log_split_counts(t):
-    branches = split_log(ods.parse_log(v.log_text(t)))
-    counted = None
-    for name, rows in branches.items():
-        one = rows.select(F.lit(name).alias("branch"))
-        counted = one if counted is None else counted.unionByName(one)
-    return counted.groupBy("branch").agg(F.count("*").alias("n"))
+    messages = split_messages(ods.parse_log(v.log_text(t)))
+    return messages.groupBy("branch").agg(F.count("*").alias("n"))
+
+
+@query
+def log_split_messages(t):
+    """The messages of the two array branches, as text."""
+    messages = split_messages(v.log_records(t.events).drop("log_id")).where(F.col("branch").isin("display", "action"))
+    fields = [F.get_json_object("value", f"$.{name}").alias(name) for name in ("mid", "page_id", "item", "ts")]
+    return messages.select("branch", *fields)
 
 
 def _branch(t, name):
@@ -362,7 +366,7 @@ def latest_in_burst(t):
     """Latest version of each order line inside its burst of copies."""
     lines = v.order_lines(t).withColumn("at", F.timestamp_seconds(F.col("ts").cast("long")))
     rows = latest_in_session(lines, ["id"], "at", ["row_op_ts", *v.LINE_TIE], "5 seconds")
-    return rows.select("id", "sku_id", "split_total_amount", second_text(F.col("row_op_ts")).alias("row_op_ts"))
+    return rows.select("id", "sku_id", v.text(F.col("split_total_amount")).alias("split_total_amount"), second_text(F.col("row_op_ts")).alias("row_op_ts"))
 
 
 @query

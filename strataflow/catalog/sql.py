@@ -249,6 +249,11 @@ ORACLE: dict[str, str] = {
       UNION ALL SELECT 'display', 2 * count(*) FROM log WHERE kind = 'view'
       UNION ALL SELECT 'action', count(*) FROM log WHERE kind IN ('click', 'purchase')
       UNION ALL SELECT 'page', count(*) FROM page""",
+    "log_split_messages": f"""WITH {LOG}
+      SELECT 'display' AS branch, mid, page_id, {_txt('k + n')} AS item, {_txt('ms')} AS ts
+      FROM log JOIN (VALUES (0), (1)) AS d(n) ON kind = 'view'
+      UNION ALL SELECT 'action', mid, page_id, {_txt('k')}, {_txt('ms - 1')}
+      FROM log WHERE kind IN ('click', 'purchase')""",
     "log_display_explode": f"""WITH {LOG} SELECT log_id, mid, is_new, page_id, 'promotion' AS display_type,
       {_txt('k + n')} AS item, {_txt('n')} AS "order", ms AS ts
       FROM fixed JOIN (VALUES (0), (1)) AS d(n) ON kind = 'view'""",

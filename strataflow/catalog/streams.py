@@ -17,10 +17,9 @@ from strataflow.catalog import views as v
 from strataflow.catalog.batch import AWAY_DAYS, BOUNCE_MS, HOUR, TIE, WEEK, Query, _ascii_words, _page_fields
 from strataflow.functions import second_text
 from strataflow.operators.latest import keep_latest, latest_in_session
-from strataflow.operators.routing import split_log
+from strataflow.operators.routing import split_messages
 from strataflow.plans import dim, dwd_db, dwd_log, dws, ods
 from strataflow.session import scratch_path
-from strataflow.sinks import branch_messages
 from strataflow.streaming import jobs
 from strataflow.streaming.dims import DimensionStore, run_dimensions
 from strataflow.streaming.runner import run_available
@@ -129,13 +128,12 @@ def stream_keyword_window_count(t):
 
 
 def stream_log_split_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """The split as one message stream with a topic per branch, counted from what was written."""
+    """The split as one message stream with its branch, counted from what was written."""
     t = StreamTables(spark, folder)
     static = t.static()
     text = t.staged(v.log_text(static), "log-text")
-    branches = split_log(ods.parse_log(text))
-    written = run_available(branch_messages(branches, {name: name for name in branches}), "log-split")
-    return written.groupBy(F.col("topic").alias("branch")).agg(F.count("*").alias("n"))
+    written = run_available(split_messages(ods.parse_log(text)), "log-split")
+    return written.groupBy("branch").agg(F.count("*").alias("n"))
 
 
 STREAMS["stream_log_split_counts"] = stream_log_split_counts
@@ -188,14 +186,14 @@ def _lines(t):
 
 @stream_query_without(BEYOND)
 def stream_province_order_window(t):
-    lines = jobs.order_lines_latest(_lines(t), v.LINE_TIE, WEEK)
+    lines = jobs.lines_latest(dws.province_lines(_lines(t), *v.LINE_TIE), v.LINE_TIE, WEEK)
     provinces = v.dimensions(t.static())["base_province"]
     return dws.province_named(dws.province_totals(lines, WEEK), provinces)
 
 
 @stream_query_without(BEYOND)
 def stream_sku_order_window(t):
-    lines = jobs.order_lines_latest(_lines(t), v.LINE_TIE, WEEK)
+    lines = jobs.lines_latest(dws.sku_lines(_lines(t), *v.LINE_TIE), v.LINE_TIE, WEEK)
     return dws.sku_named(dws.sku_totals(lines, WEEK), v.dimensions(t.static()))
 
 
@@ -211,7 +209,7 @@ def stream_brand_category_user_refund(t):
 def stream_latest_in_burst(t):
     lines = _lines(t).withColumn("at", F.timestamp_seconds(F.col("ts").cast("long"))).withWatermark("at", jobs.DELAY)
     rows = latest_in_session(lines, ["id"], "at", ["row_op_ts", *v.LINE_TIE], "5 seconds")
-    return rows.select("id", "sku_id", "split_total_amount", second_text(F.col("row_op_ts")).alias("row_op_ts"))
+    return rows.select("id", "sku_id", v.text(F.col("split_total_amount")).alias("split_total_amount"), second_text(F.col("row_op_ts")).alias("row_op_ts"))
 
 
 # --- change streams --------------------------------------------------------------------------

@@ -421,11 +421,11 @@ def order_lines(t: Tables) -> DataFrame:
     return joined.select(
         line_id().alias("id"), text(F.col("l_orderkey")).alias("order_id"), text(F.col("o_custkey")).alias("user_id"),
         text(F.col("l_partkey")).alias("sku_id"), text(F.pmod(F.col("o_custkey"), F.lit(25))).alias("province_id"),
-        text(price * money(F.col("l_quantity"))).alias("split_original_amount"),
-        text(money(price * money(F.col("l_discount")))).alias("split_activity_amount"),
-        F.when(F.col("l_tax") > 0.04, text(money(price * money(F.col("l_tax"))))).alias("split_coupon_amount"),
-        text(price).alias("split_total_amount"),
-        text(F.unix_seconds("o_orderdate") + F.col("l_linenumber")).alias("ts"),
+        money(price * money(F.col("l_quantity"))).alias("split_original_amount"),
+        money(price * money(F.col("l_discount"))).alias("split_activity_amount"),
+        F.when(F.col("l_tax") > 0.04, money(price * money(F.col("l_tax")))).alias("split_coupon_amount"),
+        price.alias("split_total_amount"),
+        (F.unix_seconds("o_orderdate") + F.col("l_linenumber")).alias("ts"),
         F.col("l_shipdate").alias("row_op_ts"),
         "l_partkey", "l_suppkey", "l_extendedprice",
     )

@@ -1,7 +1,8 @@
 """One row per key: the latest or the earliest.
 
 The rank filter becomes a per-task group limit ahead of the shuffle, so each map task sends at most
-one row per key and a key that holds a large share of all rows stays cheap.
+one row per key and a key that holds a large share of all rows stays cheap. Unused columns are pruned
+below the ranking.
 """
 
 from __future__ import annotations
@@ -14,17 +15,17 @@ from pyspark.sql import functions as F
 _RANK = "_rank_in_key"
 
 
-def _first_ranked(rows: DataFrame, keys: Sequence[str | Column], order: Sequence[Column]) -> DataFrame:
+def _first_ranked(rows: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     ranked = rows.withColumn(_RANK, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     return ranked.where(F.col(_RANK) == 1).drop(_RANK)
 
 
-def keep_latest(rows: DataFrame, keys: Sequence[str | Column], order: Sequence[str]) -> DataFrame:
+def keep_latest(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Row with the greatest ``order`` values per key; ``order`` should leave no tie."""
     return _first_ranked(rows, keys, [F.col(name).desc() for name in order])
 
 
-def keep_earliest(rows: DataFrame, keys: Sequence[str | Column], order: Sequence[str]) -> DataFrame:
+def keep_earliest(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Row with the least ``order`` values per key."""
     return _first_ranked(rows, keys, [F.col(name).asc() for name in order])
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LOG_BRANCHES = ("err", "start", "display", "action", "page")
@@ -35,18 +35,59 @@ def split_log(records: DataFrame, carry: tuple[str, ...] = ()) -> dict[str, Data
     }
 
 
-def _elements(records: DataFrame, array: str, carry: tuple[str, ...], own_time: bool) -> DataFrame:
-    inner = _element_fields(records, array)
-    names = list(dict.fromkeys([*inner, *_flat(records, "common"), *_flat(records, "page")]))
-    exploded = records.select("common", "page", "ts", *carry, F.explode(array).alias("_e"))
+def _laid_over(records: DataFrame, element: Column, inner: list[str], own_time: bool) -> list[Column]:
+    """Fields of an array element with common and then page fields over it, and its time."""
     columns = []
-    for name in names:
+    for name in dict.fromkeys([*inner, *_flat(records, "common"), *_flat(records, "page")]):
         if name == "ts":
             continue
-        layers = [s for s in ("page", "common") if name in _flat(records, s)] + (["_e"] if name in inner else [])
-        columns.append(F.coalesce(*[F.col(layer)[name] for layer in layers]).alias(name))
-    moment = F.col("_e")["ts"].try_cast("long") if own_time and "ts" in inner else F.col("ts")
-    return exploded.select(*columns, moment.alias("ts"), *carry)
+        layers = [F.col(s)[name] for s in ("page", "common") if name in _flat(records, s)]
+        columns.append(F.coalesce(*layers, *([element[name]] if name in inner else [])).alias(name))
+    moment = element["ts"].try_cast("long") if own_time and "ts" in inner else F.col("ts")
+    return [*columns, moment.alias("ts")]
+
+
+def _elements(records: DataFrame, array: str, carry: tuple[str, ...], own_time: bool) -> DataFrame:
+    exploded = records.select("common", "page", "ts", *carry, F.explode(array).alias("_e"))
+    return exploded.select(*_laid_over(exploded, F.col("_e"), _element_fields(records, array), own_time), *carry)
+
+
+def split_messages(records: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """All branches of :func:`split_log` as ``branch`` and JSON ``value``, in one pass.
+
+    Every record is read and parsed once and gives its messages directly, where five separate
+    branches would each read the input again.
+    """
+    in_start = F.col("start").isNotNull()
+    whole = records.columns
+
+    def message(branch: str, when: Column, value: Column) -> Column:
+        return F.when(when, F.struct(F.lit(branch).alias("branch"), F.to_json(value).alias("value")))
+
+    single = F.array(
+        message("err", F.col("err").isNotNull(), F.struct(*whole)),
+        message("start", in_start, F.struct("common", "start", "ts", *carry)),
+        message("page", ~in_start & F.col("page").isNotNull(), F.struct("common", "page", "ts", *carry)),
+    )
+
+    def each(branch: str, array: str, own_time: bool) -> Column:
+        inner = _element_fields(records, array)
+
+        def one(element: Column) -> Column:
+            return F.struct(
+                F.lit(branch).alias("branch"),
+                F.to_json(F.struct(*_laid_over(records, element, inner, own_time), *carry)).alias("value"),
+            )
+
+        return F.when(~in_start & F.col(array).isNotNull(), F.transform(array, one))
+
+    none = F.array().cast("array<struct<branch:string,value:string>>")
+    messages = F.concat(
+        F.filter(single, lambda m: m.isNotNull()),
+        F.coalesce(each("display", "displays", False), none),
+        F.coalesce(each("action", "actions", True), none),
+    )
+    return records.select(F.explode(messages).alias("_m")).select("_m.*")
 
 
 def route_changes(upserts: DataFrame, config: DataFrame) -> DataFrame:

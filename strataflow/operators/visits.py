@@ -59,8 +59,8 @@ def daily_first_rows(
     """The earliest row of each key and day; rows without a key are dropped."""
     for key in keys:
         rows = rows.where(F.col(key).isNotNull())
-    day = day_of(from_millis(F.col(millis)))
-    return keep_earliest(rows, [*keys, day], [millis, *tie])
+    dated = rows.withColumn("_day", day_of(from_millis(F.col(millis))))
+    return keep_earliest(dated, [*keys, "_day"], [millis, *tie]).drop("_day")
 
 
 def active_days(rows: DataFrame, keys: Sequence[str], millis: str, previous: bool = False) -> DataFrame:

@@ -6,6 +6,8 @@ the table, without processing time. Amounts are added as decimals and shown as d
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -206,16 +208,23 @@ _AMOUNTS = {
 }
 
 
-def order_lines(details: DataFrame, *extra: str) -> DataFrame:
-    """Order lines with event time and amounts as decimals; a missing amount counts as zero."""
-    amounts = [
-        F.coalesce(decimal_of(F.col(source)), F.lit(0).cast("decimal(16,2)")).alias(output)
-        for source, output in _AMOUNTS.items()
+def order_lines(details: DataFrame, *extra: str, key: str, amounts: Sequence[str] = tuple(_AMOUNTS)) -> DataFrame:
+    """Order lines with event time, the column they are summed by, and amounts as decimals; a
+    missing amount counts as zero."""
+    decimals = [
+        F.coalesce(decimal_of(F.col(source)), F.lit(0).cast("decimal(16,2)")).alias(_AMOUNTS[source])
+        for source in amounts
     ]
-    return details.select(
-        "id", "order_id", "sku_id", "province_id", *amounts, "row_op_ts", *extra,
-        from_seconds(F.col("ts").try_cast("long")).alias("_at"),
-    )
+    moment = from_seconds(F.col("ts").try_cast("long")).alias("_at")
+    return details.select("id", "order_id", key, *decimals, "row_op_ts", *extra, moment)
+
+
+def sku_lines(details: DataFrame, *extra: str) -> DataFrame:
+    return order_lines(details, *extra, key="sku_id")
+
+
+def province_lines(details: DataFrame, *extra: str) -> DataFrame:
+    return order_lines(details, *extra, key="province_id", amounts=["split_total_amount"])
 
 
 def _doubles(frame: DataFrame, *names: str) -> DataFrame:
@@ -259,7 +268,7 @@ def sku_order(
     missing: str = "null",
 ) -> DataFrame:
     """Orders and amounts per article, on the latest version of each line, with all names."""
-    lines = keep_latest(order_lines(details, *tie), ["id"], ["row_op_ts", *tie])
+    lines = keep_latest(sku_lines(details, *tie), ["id"], ["row_op_ts", *tie])
     return sku_named(sku_totals(lines, size), dims, missing)
 
 
@@ -280,7 +289,7 @@ def province_order(
     missing: str = "null",
 ) -> DataFrame:
     """Orders and amounts per province, on the latest version of each line."""
-    lines = keep_latest(order_lines(details, *tie), ["id"], ["row_op_ts", *tie])
+    lines = keep_latest(province_lines(details, *tie), ["id"], ["row_op_ts", *tie])
     return province_named(province_totals(lines, size), provinces, missing)
 
 

@@ -29,14 +29,10 @@ def keyed_messages(rows: DataFrame, keys: Sequence[str], deleted: str | None = N
     return rows.select(F.to_json(F.struct(*keys)).alias("key"), value.alias("value"))
 
 
-def branch_messages(branches: Mapping[str, DataFrame], topics: Mapping[str, str]) -> DataFrame:
-    """All branches of a split as one message stream with a topic column, so the input is parsed and
-    the topics are written by a single query."""
-    merged = None
-    for name, rows in branches.items():
-        one = json_messages(rows, topics[name])
-        merged = one if merged is None else merged.unionByName(one)
-    return merged
+def branch_messages(messages: DataFrame, topics: Mapping[str, str]) -> DataFrame:
+    """Messages of a split with the topic of their branch, for one query that writes all topics."""
+    pairs = [F.lit(text) for pair in topics.items() for text in pair]
+    return messages.select(F.create_map(*pairs)[F.col("branch")].alias("topic"), "value")
 
 
 def to_kafka(messages: DataFrame, servers: str, checkpoint: str, topic: str | None = None, **options: str) -> StreamingQuery:

@@ -17,7 +17,7 @@ from strataflow.operators.tumbling import DEFAULT_SIZE
 from strataflow.operators.visits import first_claims, first_day
 from strataflow.plans import dwd_log, dws
 from strataflow.plans.dwd_log import is_entry
-from strataflow.streaming.processors import Bounce, DailyFirst, FirstDay
+from strataflow.streaming.processors import Bounce, DailyFirst, FirstDay, LateRows
 
 # Allowed disorder of the jobs (fixed values).
 DELAY = "3 seconds"
@@ -164,9 +164,18 @@ def repaired(records: DataFrame, size: str = DEFAULT_SIZE, delay: str = DELAY) -
     return named.unionByName(records.where(F.col("common.mid").isNull()))
 
 
-def order_lines_latest(
-    details: DataFrame, tie: Sequence[str] = (), size: str = DEFAULT_SIZE, delay: str = DELAY
-) -> DataFrame:
+def lines_latest(lines: DataFrame, tie: Sequence[str] = (), size: str = DEFAULT_SIZE, delay: str = DELAY) -> DataFrame:
     """Latest version of each order line within its window, ready for the trade totals."""
-    lines = dws.order_lines(details, *tie).withWatermark("_at", delay)
-    return latest_in_window(lines, ["id"], "_at", ["row_op_ts", *tie], size)
+    return latest_in_window(lines.withWatermark("_at", delay), ["id"], "_at", ["row_op_ts", *tie], size)
+
+
+def late_rows(rows: DataFrame, keys: Sequence[str], delay: str = DELAY, millis: str = "ts") -> DataFrame:
+    """Rows that arrive behind the watermark, for a look at what a window of the same delay drops.
+
+    Spark drops late rows ahead of a stateful operator that takes part in the watermark, so this one
+    gets the time as a plain number and keeps its own greatest time per key.
+    """
+    plain = rows.select(*keys, F.col(millis).alias("millis"), *[c for c in rows.columns if c not in (*keys, millis)])
+    output = T.StructType(plain.schema.fields)
+    bound = int(rows.sparkSession.sql(f"SELECT CAST(INTERVAL {delay} AS BIGINT)").first()[0]) * 1000
+    return plain.groupBy(*keys).transformWithStateInPandas(LateRows(plain.columns, bound), output, "Append", "None")

@@ -117,20 +117,27 @@ class Bounce(StatefulProcessor):
 
 
 class LateRows(StatefulProcessor):
-    """Rows behind the watermark on arrival, which a following window would drop."""
+    """Rows further behind the greatest time of their key than the allowed disorder.
 
-    def __init__(self, columns: list[str]):
-        self._columns = columns
+    State: the greatest time seen in earlier micro-batches.
+    """
+
+    def __init__(self, columns: list[str], bound_ms: int):
+        self._columns, self._bound = columns, bound_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._handle = handle
+        self._greatest = handle.getValueState("greatest", "millis long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        watermark = timerValues.getCurrentWatermarkInMs()
+        known = int(self._greatest.get()[0]) if self._greatest.exists() else None
+        greatest = known
         for frame in _named(rows, self._columns):
-            late = frame[frame["millis"] < watermark]
-            if not late.empty:
-                yield late
+            greatest = max(int(frame["millis"].max()), greatest if greatest is not None else -(2**62))
+            if known is not None:
+                late = frame[frame["millis"] < known - self._bound]
+                if not late.empty:
+                    yield late
+        self._greatest.update((greatest,))
 
     def close(self) -> None:
         pass
