@@ -52,7 +52,9 @@ def _joinable(rows: DataFrame, keys: list[str], seconds: str, at: str, hold: str
     """Ready rows for a join: an event time ``at``, and one version per key.
 
     In batch that is the latest version. A stream gets a watermark instead and leaves versions to the
-    summary layer.
+    summary layer. Where the other side of the join may be skewed, ``keys`` holds more than the join
+    key: the join then shuffles this side anew, and adaptive execution can split a hot key only
+    between two fresh shuffles.
     """
     timed = rows.withColumn(at, from_seconds(F.col(seconds).try_cast("long")))
     if hold is not None:
@@ -172,11 +174,13 @@ def pay_detail(
         table_rows(changes, "payment_info", "update", database=database)
         .where(changed_to("payment_status", PAYMENT_DONE))
         .select(
-            *data_columns("callback_time", payment_type_code="payment_type", _pay_order="order_id"),
+            *data_columns(
+                "callback_time", payment_type_code="payment_type", _pay_order="order_id", _status="payment_status"
+            ),
             F.col("ts").alias("_pay_ts"),
         )
     )
-    payments = _joinable(payments, ["_pay_order"], "_pay_ts", "_pay_at", hold, delay)
+    payments = _joinable(payments, ["_pay_order", "_status"], "_pay_ts", "_pay_at", hold, delay)
     lines = details.withColumnsRenamed(
         {"id": "order_detail_id", "split_total_amount": "split_payment_amount", "ts": "_line_ts"}
     ).withColumn("_line_at", from_seconds(F.col("_line_ts").try_cast("long")))
@@ -194,9 +198,10 @@ def pay_detail(
 def _orders_that_became(changes: DataFrame, status: str, database: str | None, hold: str | None, delay: str):
     rows = table_rows(changes, "order_info", database=database).where(changed_to("order_status", status))
     orders = rows.select(
-        *data_columns("province_id", _order_key="id", _order_user="user_id"), F.col("ts").alias("_oi_ts")
+        *data_columns("province_id", _order_key="id", _order_user="user_id", _status="order_status"),
+        F.col("ts").alias("_oi_ts"),
     )
-    return _joinable(orders, ["_order_key"], "_oi_ts", "_oi_at", hold, delay).drop("_oi_ts")
+    return _joinable(orders, ["_order_key", "_status"], "_oi_ts", "_oi_at", hold, delay).drop("_oi_ts", "_status")
 
 
 def order_refund(
