@@ -135,3 +135,16 @@ def columns_of(table: str) -> list[str]:
     if table in DWD_COLUMNS:
         return DWD_COLUMNS[table].split()
     return ["stt", "edt", *DWS_COLUMNS[table].split()]
+
+
+def detail_schema(table: str) -> T.StructType:
+    """Schema of a DWD table: text, but for the few typed columns."""
+    typed = {"old": T.MapType(T.StringType(), T.StringType()), "row_op_ts": T.TimestampType()}
+    if table == "dwd_trade_cart_add":
+        typed["ts"] = T.LongType()
+    return T.StructType([T.StructField(name, typed.get(name, T.StringType())) for name in columns_of(table)])
+
+
+PAGE_ROW = T.StructType(
+    [T.StructField("common", LOG_COMMON), T.StructField("page", LOG_PAGE), T.StructField("ts", T.LongType())]
+)

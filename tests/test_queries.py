@@ -19,7 +19,6 @@ def test_every_query_has_sql():
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, folder, con, name):
-    # The report range of this query is empty for no folder, and no other query is empty either.
     assert differences(QUERIES[name](spark, folder), con, SQL[name]) == []
 
 
