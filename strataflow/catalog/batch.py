@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataflow.catalog import views as v
-from strataflow.functions import camel_case, distinct_words, second_text
+from strataflow.functions import camel_case, distinct_words, register_word_function, second_text
 from strataflow.operators.changes import added_quantity, changed_to, table_rows, upsert_rows
 from strataflow.operators.latest import latest_in_session
 from strataflow.operators.lookup import count_missing
@@ -305,6 +305,22 @@ def keyword_unicode_totals(t):
     return words.groupBy("keyword").agg(F.count("*").alias("searches"))
 
 
+@query
+def keyword_sql_lateral(t):
+    """The keyword report as SQL text with the word table function."""
+    register_word_function(t.spark, "ascii_words", "[a-z]+")
+    return t.spark.sql(
+        f"""
+        SELECT date_format(span.start, 'yyyy-MM-dd HH:mm:ss') AS stt, date_format(span.end, 'yyyy-MM-dd HH:mm:ss') AS edt,
+          'search' AS source, keyword, count(*) AS keyword_count
+        FROM (SELECT window(timestamp_millis(ts), '{HOUR}') AS span, page.item AS item FROM {{searches}}
+              WHERE page.last_page_id = 'search' AND page.item_type = 'keyword' AND page.item IS NOT NULL) AS t,
+          LATERAL ascii_words(t.item)
+        GROUP BY span, keyword""",
+        searches=v.search_log(t.documents),
+    )
+
+
 def _traffic(t):
     pages = v.page_log(t.events)
     visitors = dwd_log.unique_visitors(pages, TIE)

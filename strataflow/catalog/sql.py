@@ -417,6 +417,7 @@ ORACLE: dict[str, str] = {
       activity_id, activity_rule_id, coupon_id, source_type_name, sku_num, split_original_amount, split_activity_amount,
       split_coupon_amount, type FROM pre WHERE type = 'insert'""",
 }
+ORACLE["keyword_sql_lateral"] = ORACLE["keyword_window_count"]
 ORACLE["stream_pay_detail"] = f"SELECT * FROM ({ORACLE['pay_detail']}) WHERE CAST(order_id AS BIGINT) % 45 BETWEEN 1 AND 30"
 ORACLE["stream_order_refund"] = f"SELECT * EXCLUDE (ts) FROM ({ORACLE['order_refund']})"
 ORACLE["stream_refund_pay"] = f"SELECT * EXCLUDE (ts) FROM ({ORACLE['refund_pay']})"

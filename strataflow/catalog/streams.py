@@ -111,6 +111,11 @@ def stream_bounce_detail(t):
     return _page_fields(jobs.bounces(_pages(t), BOUNCE_MS, "log_id"))
 
 
+@stream_query_without("log_id < 0")
+def stream_bounce_detail_entry_normal(t):
+    return _page_fields(jobs.bounces(_pages(t), BOUNCE_MS, "log_id", entry_follows=False))
+
+
 @stream_query_without("log_id < 0")
 def stream_visitor_flag_repair(t):
     rows = jobs.repaired(v.log_records(_events(t)))
@@ -221,6 +226,17 @@ def stream_cart_add(t):
     return dwd_db.cart_add(feed, v.dictionary(t.spark), v.DATABASE)
 
 
+@stream_query
+def stream_comment_lookup(t):
+    feed = t.staged(v.changes(t.static(), "comment_info"), "comment-changes")
+    return dwd_db.comment(feed, v.dictionary(t.spark), v.DATABASE)
+
+
+@stream_query
+def stream_coupon_pay(t):
+    return dwd_db.coupon_pay(t.staged(v.changes(t.static(), "coupon_use"), "coupon-changes"), v.DATABASE)
+
+
 def stream_dim_upsert_latest(spark: SparkSession, folder: str) -> DataFrame:
     t = StreamTables(spark, folder)
     feed = t.staged(v.changes(t.static(), "sku_info", "user_info", "base_province", "base_region"), "dim-changes")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 WORD_PATTERN = r"[\p{L}\p{N}]+"
@@ -16,6 +16,17 @@ def distinct_words(text: Column, pattern: str = WORD_PATTERN) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(f"({pattern})"), 1))
 
 
+def register_word_function(spark: SparkSession, name: str = "distinct_words", pattern: str = WORD_PATTERN) -> None:
+    """The same as a table function for SQL text: ``FROM t, LATERAL distinct_words(t.item)``.
+
+    It is a SQL function, so the plan holds a plain explode and no Python.
+    """
+    spark.sql(
+        f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(words_of STRING) RETURNS TABLE (keyword STRING) "
+        f"RETURN SELECT explode(array_distinct(regexp_extract_all(lower(words_of), r'({pattern})', 1)))"
+    )
+
+
 def dictionary_words(dictionary: list[str]):
     """Arrow UDF for text without blanks between words: longest dictionary word first.
 
