@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -36,7 +37,7 @@ def sized_for(input_bytes: int, cores: int, partition_bytes: int = 256 << 20) ->
     The shuffle starts with enough partitions for the whole input, at least three per core, and
     adaptive execution merges the small ones; a partition well over its size counts as skewed.
     """
-    partitions = min(max(-(-input_bytes // partition_bytes), 3 * cores), 200_000)
+    partitions = max(-(-input_bytes // partition_bytes), 3 * cores)
     return {
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
         "spark.sql.shuffle.partitions": str(partitions),
@@ -72,11 +73,13 @@ def session_conf(spark: SparkSession, **conf: str):
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder below the shared checkpoint folder of the session.
 
-    A cluster names a shared folder in ``spark.checkpoint.dir``. Only where that is unset (tests,
-    local mode) is a local temporary folder made.
+    A cluster names a shared folder in ``spark.checkpoint.dir``. Only a session inside one process
+    (tests, local mode) may leave it unset, and then gets a local temporary folder.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        if not re.match(r"local($|\[)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="strataflow-")
         os.chmod(shared, 0o755)
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
