@@ -7,10 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import chat_format, quality_rules, simhash_dedup
+from strataflow.llm import chat_format, line_dedup, pair_ranking, pieces, quality_rules, simhash_dedup
 from strataflow.llm.shared import table
 
 
+#: Vocabulary files of public tokenizers; a parameter, never part of the repository.
+TOKENIZERS = "/opt/tokenizers"
+
+
+def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.encode_documents(table(spark, folder, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model")
+
+
 def op3_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     given = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     says = F.lit("<|im_end|><|im_start|>assistant ok")
@@ -22,17 +30,27 @@ def op3_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat_format.read_back(chat_format.rendered(chat_format.folded(log)))
 
 
+def op4_pair_ranking(spark: SparkSession, folder: str) -> DataFrame:
+    return pair_ranking.pair_ranking(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op5_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash_dedup.simhash_components(table(spark, folder, "documents"))
     return found.select("doc_id", simhash_dedup.hex_digits().alias("fingerprint"), "component_id")
 
 
+def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, folder, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, folder, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op3_chat_format, op5_simhash_dedup, op9_quality_rules)
+    query.__name__: query for query in (
+        op1_sentencepiece, op3_chat_format, op4_pair_ranking, op5_simhash_dedup, op7_line_dedup, op9_quality_rules,
+    )
 }
 
 ORACLE: dict[str, str] = {
