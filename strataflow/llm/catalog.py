@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import chat_format, line_dedup, pair_ranking, pieces, quality_rules, simhash_dedup
+from strataflow.llm import (
+    chat_format, latent_search, line_dedup, pair_ranking, pieces, quality_rules, simhash_dedup, surrogates, token_counts, training_order,
+)
 from strataflow.llm.shared import table
 
 
@@ -19,6 +21,10 @@ def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.encode_documents(table(spark, folder, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model")
 
 
+def op2_latent_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return latent_search.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op3_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     given = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     says = F.lit("<|im_end|><|im_start|>assistant ok")
@@ -39,17 +45,31 @@ def op5_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", simhash_dedup.hex_digits().alias("fingerprint"), "component_id")
 
 
+def op6_training_order(spark: SparkSession, folder: str) -> DataFrame:
+    written = training_order.training_order(table(spark, folder, "documents"), f"{TOKENIZERS}/byte_bpe_50k.tiktoken")
+    return training_order.read_from(spark, written).withColumn("payload", F.sha2("payload", 256)).withColumnRenamed("payload", "payload_sha256")
+
+
 def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, folder, "documents"))
 
 
+def op8_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    return surrogates.replace_entities(table(spark, folder, "documents"), secret="a key of the corpus owner")
+
+
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, folder, "documents"))
 
 
+def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, folder, "documents"), f"{TOKENIZERS}/byte_bpe_50k.tiktoken")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query for query in (
-        op1_sentencepiece, op3_chat_format, op4_pair_ranking, op5_simhash_dedup, op7_line_dedup, op9_quality_rules,
+        op1_sentencepiece, op2_latent_decontamination, op3_chat_format, op4_pair_ranking, op5_simhash_dedup, op6_training_order,
+        op7_line_dedup, op8_surrogates, op9_quality_rules, op10_token_counts,
     )
 }
 

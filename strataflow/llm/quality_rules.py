@@ -7,7 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.llm.shared import SPACE, id_and_text
+from strataflow.llm.shared import SPACE, column
 
 
 class Rule(NamedTuple):
@@ -49,8 +49,8 @@ def verdict(rules: tuple[Rule, ...] = RULES) -> str:
 BASE = "n_words < 50 or 100 * n_repeat_words > 50 * n_words"
 
 
-def quality_rules(docs: DataFrame, key: str = "doc_id", text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """One row per document with its counts, ``base_failed`` and ``kept``.
+def quality_rules(docs: DataFrame, key: str = "doc_id", text: str = "text", rules: tuple[Rule, ...] = RULES, whole: bool = False) -> DataFrame:
+    """One row per document with its counts, ``base_failed`` and ``kept``; ``whole`` adds the row itself as ``row``.
 
     NULL and empty texts have no words, fail the base and are not kept. Each row is judged alone,
     so repeated rows and NULL ids simply get their own rows; other columns are ignored. A text is
@@ -58,21 +58,25 @@ def quality_rules(docs: DataFrame, key: str = "doc_id", text: str = "text", rule
     some window of three words that the text holds at least twice; windows of one text are compared
     by their 64-bit hash.
     """
-    rows = id_and_text(docs, key, text).withColumn("text", F.coalesce(F.col("text"), F.lit("")))
+    rows = docs.select(
+        column(docs, key).alias("doc_id"), F.coalesce(column(docs, text), F.lit("")).alias("text"),
+        *([F.struct("*").alias("row")] if whole else []),
+    )
+    own = ["doc_id", "row"] if whole else ["doc_id"]
     size = F.octet_length("text")
 
     def occurrences(characters: str):
         return sum((size - F.octet_length(F.replace(F.col("text"), F.lit(c), F.lit(""))) for c in characters), F.lit(0)).cast("long")
 
     step = rows.select(
-        "doc_id",
+        *own,
         F.array_remove(F.split("text", SPACE + "+"), "").alias("words"),
         F.filter(F.split("text", "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]")).alias("lines"),
         F.regexp_count("text", F.lit(r"\p{Lu}")).cast("long").alias("n_capitals"),
         occurrences(SYMBOLS).alias("n_symbols"),
         (F.char_length("text") - occurrences(" \t\n\x0b\f\r")).cast("long").alias("word_chars"),
     )
-    carried = ["doc_id", "n_capitals", "n_symbols", "word_chars"]
+    carried = [*own, "n_capitals", "n_symbols", "word_chars"]
     n = F.size("words")
     step = step.select(
         *carried,
@@ -121,7 +125,7 @@ def quality_rules(docs: DataFrame, key: str = "doc_id", text: str = "text", rule
         ).cast("long").alias("n_repeat_words"),
     )
     return step.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_stop_words", "n_capitals",
+        *own, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_stop_words", "n_capitals",
         F.expr(BASE).alias("base_failed"),
         F.expr(f"not ({BASE}) and {verdict(rules)}").alias("kept"),
     )

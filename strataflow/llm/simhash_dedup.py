@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.llm.shared import components, id_and_text, saved, small_batches
+from strataflow.llm.shared import column, components, id_and_text, saved, small_batches
 
 RADIUS = 2
 SHINGLE = 3
@@ -45,7 +45,7 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id, fp`` for every row; NULL, empty and blank texts get zero."""
+    """``doc_id, version, fp`` for every row (``version`` hashes id and text); NULL, empty and blank texts get zero."""
     small_batches(docs.sparkSession)
 
     @F.pandas_udf("bigint")
@@ -53,7 +53,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shing
         for texts in batches:
             yield pd.Series([fingerprint(t, shingle) for t in texts], dtype="int64")
 
-    return id_and_text(docs, key, text).select("doc_id", simhash("text").alias("fp"))
+    return id_and_text(docs, key, text).select("doc_id", F.xxhash64("doc_id", "text").alias("version"), simhash("text").alias("fp"))
 
 
 def _shifts(radius: int) -> list[tuple[int, ...]]:
@@ -138,7 +138,7 @@ def fingerprint_links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def simhash_components(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
-    """``doc_id, fp, component_id`` for every row of ``docs``.
+    """``doc_id, version, fp, component, component_id`` for every row of ``docs``; ``component`` is a fingerprint.
 
     ``component_id`` is the least id reachable over links of at most ``radius`` differing bits,
     the row's own id included. Equal fingerprints are one node, so copies make no pairs. Rows with
@@ -150,8 +150,20 @@ def simhash_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     groups = components(fingerprint_links(nodes.select("fp"), radius)).withColumnRenamed("node", "fp")
     grouped = saved(nodes.join(groups, "fp", "left").withColumn("component", F.coalesce("component", "fp")), "nodes")
     least = grouped.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    by_fp = grouped.join(least, "component").select("fp", "component_id")
-    return found.join(by_fp, "fp").select("doc_id", "fp", "component_id")
+    by_fp = grouped.join(least, "component").select("fp", "component", "component_id")
+    return found.join(by_fp, "fp").select("doc_id", "version", "fp", "component", "component_id")
+
+
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stand for their groups: the least id, then the least version; one of repeated rows.
+
+    NULL ids stand for a group only if all its ids are NULL.
+    """
+    found = simhash_components(docs, key, text)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "version"))
+    stands = found.groupBy("component").agg(first.alias("first")).select(F.col("first.version").alias("__version"))
+    rows = docs.select(F.struct("*").alias("row"), F.xxhash64(column(docs, key), column(docs, text)).alias("__version"))
+    return rows.join(stands, "__version", "left_semi").groupBy("__version").agg(F.first("row").alias("row")).select("row.*")
 
 
 def hex_digits(fp: str = "fp"):
