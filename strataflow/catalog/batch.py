@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from strataflow.catalog import views as v
 from strataflow.functions import camel_case, distinct_words, register_word_function, second_text
 from strataflow.operators.changes import added_quantity, changed_to, table_rows, upsert_rows
-from strataflow.operators.latest import latest_in_session
-from strataflow.operators.lookup import count_missing
+from strataflow.operators.latest import keep_latest, latest_in_session
+from strataflow.operators.lookup import count_missing, join_dimension
 from strataflow.operators.routing import split_messages
 from strataflow.operators.timed_join import bounded_join
 from strataflow.plans import ads, dim, dwd_db, dwd_log, dws, ods
@@ -31,8 +31,8 @@ def query(job: Callable[[v.Tables], DataFrame]) -> Callable[[v.Tables], DataFram
     return job
 
 
-def _ascii_words(text):
-    return distinct_words(text, "[a-z]+")
+def _words(text):
+    return distinct_words(text)
 
 
 # --- ODS -------------------------------------------------------------------------------------
@@ -295,27 +295,27 @@ def dim_missing_rows(t):
 
 @query
 def keyword_window_count(t):
-    return dws.keyword(v.search_log(t.documents), HOUR, _ascii_words)
+    return dws.keyword(v.search_log(t.documents), HOUR, _words)
 
 
 @query
 def keyword_unicode_totals(t):
     """Searches per word of any script, all windows together."""
-    words = dws.searched_words(v.search_log(t.documents), lambda text: distinct_words(text, r"[0-9]+"))
+    words = dws.searched_words(v.search_log(t.documents), _words)
     return words.groupBy("keyword").agg(F.count("*").alias("searches"))
 
 
 @query
 def keyword_sql_lateral(t):
     """The keyword report as SQL text with the word table function."""
-    register_word_function(t.spark, "ascii_words", "[a-z]+")
+    register_word_function(t.spark, "report_words")
     return t.spark.sql(
         f"""
         SELECT date_format(span.start, 'yyyy-MM-dd HH:mm:ss') AS stt, date_format(span.end, 'yyyy-MM-dd HH:mm:ss') AS edt,
           'search' AS source, keyword, count(*) AS keyword_count
         FROM (SELECT window(timestamp_millis(ts), '{HOUR}') AS span, page.item AS item FROM {{searches}}
               WHERE page.last_page_id = 'search' AND page.item_type = 'keyword' AND page.item IS NOT NULL) AS t,
-          LATERAL ascii_words(t.item)
+          LATERAL report_words(t.item)
         GROUP BY span, keyword""",
         searches=v.search_log(t.documents),
     )
@@ -402,8 +402,11 @@ def ads_daily_rollup(t):
 
 @query
 def ads_range_rollup(t):
+    span = {"since": "1996-01-01 00:00:00", "until": "1999-01-01 00:00:00"}
     summary = dws.sku_order(v.order_lines(t), v.dimensions(t), WEEK, v.LINE_TIE)
-    totals = ads.rollup(
-        summary, ["trademark_id"], ["order_count", "order_amount"], since="1996-01-01 00:00:00", until="1999-01-01 00:00:00"
-    )
+    totals = ads.rollup(summary, ["trademark_id"], ["order_amount"], **span)
+    lines = keep_latest(dws.sku_lines(v.order_lines(t), *v.LINE_TIE), ["id"], ["row_op_ts", *v.LINE_TIE])
+    branded = join_dimension(lines, v.dimensions(t)["sku_info"], "sku_id", {"tm_id": "trademark_id"})
+    orders = ads.distinct_members(branded, ["trademark_id"], "order_id", "order_count", WEEK, **span)
+    totals = totals.join(orders.withColumnRenamed("trademark_id", "_of"), F.col("trademark_id").eqNullSafe(F.col("_of"))).drop("_of")
     return totals.withColumn("order_amount", F.round("order_amount", 2))

@@ -362,10 +362,10 @@ ORACLE: dict[str, str] = {
       FROM lineitem WHERE {_txt('l_partkey')} NOT IN (SELECT id FROM sku) GROUP BY ALL""",
     "keyword_window_count": f"""SELECT {_bounds('moment', '1 hour')}, 'search' AS source, keyword, count(*) AS keyword_count
       FROM (SELECT TIMESTAMP '2024-01-01' + to_minutes(doc_id) AS moment,
-              unnest(list_distinct(regexp_extract_all(lower(text), '[a-z]+'))) AS keyword FROM documents)
+              unnest(list_distinct(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+'))) AS keyword FROM documents)
       GROUP BY ALL""",
     "keyword_unicode_totals": """SELECT keyword, count(*) AS searches
-      FROM (SELECT unnest(list_distinct(regexp_extract_all(text, '[0-9]+'))) AS keyword FROM documents) GROUP BY ALL""",
+      FROM (SELECT unnest(list_distinct(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+'))) AS keyword FROM documents) GROUP BY ALL""",
     "traffic_window": f"WITH {LOG}, {TRAFFIC} SELECT * FROM traffic",
     "home_detail_uv": f"""WITH {LOG}, firsts AS (
         SELECT mid, page_id, day, min(ts) AS moment FROM page WHERE page_id IN ('home', 'good_detail') GROUP BY ALL)
@@ -410,8 +410,12 @@ ORACLE: dict[str, str] = {
       {', '.join(f'CAST(sum({n}) AS BIGINT) AS {n}' for n in ('uv_ct', 'sv_ct', 'pv_ct', 'dur_sum', 'uj_ct'))}
       FROM traffic GROUP BY ALL""",
     "ads_range_rollup": f"""WITH {ORDER_LINES}, {DIMS}, {SKU_WINDOW}
-      SELECT trademark_id, CAST(sum(order_count) AS BIGINT) AS order_count, round(sum(order_amount), 2) AS order_amount
-      FROM sku_window WHERE stt >= '1996-01-01 00:00:00' AND edt <= '1999-01-01 00:00:00' GROUP BY ALL""",
+      , counted AS (SELECT tm_id, count(DISTINCT order_id) AS order_count
+        FROM (SELECT {_bounds('moment', '7 days')}, order_id, sku.tm_id AS tm_id FROM lines LEFT JOIN sku ON lines.sku_id = sku.id)
+        WHERE stt >= '1996-01-01 00:00:00' AND edt <= '1999-01-01 00:00:00' GROUP BY ALL)
+      SELECT trademark_id, any_value(counted.order_count) AS order_count, round(sum(order_amount), 2) AS order_amount
+      FROM sku_window JOIN counted ON trademark_id IS NOT DISTINCT FROM tm_id
+      WHERE stt >= '1996-01-01 00:00:00' AND edt <= '1999-01-01 00:00:00' GROUP BY trademark_id""",
     # Streams joined within a time bound have results of their own.
     "stream_order_pre_process": f"""WITH {LINES} SELECT id, order_id, user_id, order_status, sku_id, province_id,
       activity_id, activity_rule_id, coupon_id, source_type_name, sku_num, split_original_amount, split_activity_amount,

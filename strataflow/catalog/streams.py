@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataflow.catalog import views as v
-from strataflow.catalog.batch import AWAY_DAYS, BOUNCE_MS, HOUR, TIE, WEEK, Query, _ascii_words, _page_fields
+from strataflow.catalog.batch import AWAY_DAYS, BOUNCE_MS, HOUR, TIE, WEEK, Query, _words, _page_fields
 from strataflow.functions import second_text
 from strataflow.operators.latest import keep_latest, latest_in_session
 from strataflow.operators.routing import split_messages
@@ -126,7 +126,7 @@ def stream_visitor_flag_repair(t):
 def stream_keyword_window_count(t):
     documents = t.stream("documents", doc_id="39446640", text="'future'")
     pages = v.search_log(documents).withColumn("_at", F.timestamp_millis("ts")).withWatermark("_at", jobs.DELAY)
-    return dws.keyword(pages, HOUR, _ascii_words)
+    return dws.keyword(pages, HOUR, _words)
 
 
 # --- log and summaries of single streams -----------------------------------------------------

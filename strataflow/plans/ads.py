@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+
 def rollup(
     summary: DataFrame,
     keys: Sequence[str],
@@ -17,8 +18,8 @@ def rollup(
 ) -> DataFrame:
     """Add up summary rows with ``stt >= since`` and ``edt <= until``, per key and optionally day.
 
-    Sums add up. A distinct count adds up only where a member cannot appear in two windows, as with an
-    order, whose lines share one time, or a daily-first count within its day.
+    Sums add up. A distinct count adds up only where a member is in one row of the summary per
+    group, as with a daily-first count within its day; with coarser keys use ``distinct_members``.
     """
     rows = summary
     if since is not None:
@@ -27,3 +28,12 @@ def rollup(
         rows = rows.where(F.col("edt") <= until)
     groups = [*([F.substring("stt", 1, 10).alias("day")] if by_day else []), *keys]
     return rows.groupBy(*groups).agg(*[F.sum(name).alias(name) for name in sums])
+
+
+def distinct_members(
+    rows: DataFrame, keys: Sequence[str], member: str, name: str, size: str, since: str, until: str, at: str = "_at"
+) -> DataFrame:
+    """Distinct members per key over the windows of a time range; counted per member first, so no set grows in one row."""
+    span = F.window(at, size)
+    inside = rows.where((span.start >= F.lit(since).cast("timestamp")) & (span.end <= F.lit(until).cast("timestamp")))
+    return inside.groupBy(*keys, member).agg(F.lit(1).alias("_one")).groupBy(*keys).agg(F.count(member).alias(name))

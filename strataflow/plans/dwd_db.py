@@ -106,9 +106,10 @@ def order_pre_process(
 ) -> DataFrame:
     """Order lines with their order, activity and coupon: one row per line and order change."""
     details = _joinable(order_details(changes, database), ["id"], "od_ts", "_od_at", hold, delay)
-    orders = _joinable(
-        order_changes(changes, database), ["_order_key", "type", "oi_ts"], "oi_ts", "_oi_at", hold, delay
-    )
+    # Only exact copies of a change count once: two changes of an order within one second are two.
+    orders = order_changes(changes, database).withColumn("_old_text", F.to_json("old"))
+    version = [name for name in orders.columns if name != "old"]
+    orders = _joinable(orders, version, "oi_ts", "_oi_at", hold, delay).drop("_old_text")
     activities = table_rows(changes, "order_detail_activity", "insert", database=database).select(
         *data_columns("activity_id", "activity_rule_id", _act_key="order_detail_id"), F.col("ts").alias("_act_ts")
     )
@@ -175,12 +176,15 @@ def pay_detail(
         .where(changed_to("payment_status", PAYMENT_DONE))
         .select(
             *data_columns(
-                "callback_time", payment_type_code="payment_type", _pay_order="order_id", _status="payment_status"
+                "callback_time", payment_type_code="payment_type", _pay_order="order_id", _status="payment_status", _pay_id="id"
             ),
             F.col("ts").alias("_pay_ts"),
         )
     )
-    payments = _joinable(payments, ["_pay_order", "_status"], "_pay_ts", "_pay_at", hold, delay)
+    # Each payment of an order counts; without an id only exact copies are one payment.
+    own = F.concat_ws("|", "payment_type_code", "callback_time", "_pay_ts")
+    payments = payments.withColumn("_pay_id", F.coalesce("_pay_id", own))
+    payments = _joinable(payments, ["_pay_order", "_status", "_pay_id"], "_pay_ts", "_pay_at", hold, delay)
     lines = details.withColumnsRenamed(
         {"id": "order_detail_id", "split_total_amount": "split_payment_amount", "ts": "_line_ts"}
     ).withColumn("_line_at", from_seconds(F.col("_line_ts").try_cast("long")))

@@ -66,18 +66,18 @@ def test_column_names():
 
 
 def test_time_text(spark):
-    row = spark.sql("SELECT '2022-06-27 01:04:48' AS t, 'bad' AS b, '2022-06-27' AS d, '2022-06-30' AS later").select(
+    row = spark.sql("SELECT '2023-11-05 10:20:30' AS t, 'bad' AS b, '2023-11-05' AS d, '2023-11-09' AS later").select(
         day_of_text(F.col("t")), day_of_text(F.col("b")), millis_of_text(F.col("t")), millis_of_text(F.col("d")),
         day_gap(F.col("later"), F.col("d")), double_or_zero(F.col("b")),
     )
-    assert tuple(row.first()) == ("2022-06-27", None, 1656291888000, 1656288000000, 3, 0.0)
+    assert tuple(row.first()) == ("2023-11-05", None, 1699179630000, 1699142400000, 4, 0.0)
 
 
 def test_words(spark):
-    frame = spark.createDataFrame([("Red red apple, 小米手机 2",), (None,)], "t string")
-    assert [r[0] for r in frame.select(distinct_words(F.col("t"))).collect()] == [["red", "apple", "小米手机", "2"], None]
-    cut = dictionary_words(["小米", "手机"])
-    assert [r[0] for r in frame.select(cut(F.lit("小米手机小米"))).collect()] == [["小米", "手机"]] * 2
+    frame = spark.createDataFrame([("Blue blue Pear, 東京地図 7",), (None,)], "t string")
+    assert [r[0] for r in frame.select(distinct_words(F.col("t"))).collect()] == [["blue", "pear", "東京地図", "7"], None]
+    cut = dictionary_words(["東京", "地図"])
+    assert [r[0] for r in frame.select(cut(F.lit("東京地図東京"))).collect()] == [["東京", "地図"]] * 2
 
 
 # --- change rows -----------------------------------------------------------------------------
@@ -277,12 +277,12 @@ def pages(spark, *rows):
 
 def test_bounce_examples(spark):
     frame = pages(
-        spark, ("101", "home", None, 10000), ("101", "home", None, 11000), ("102", "home", None, 12000),
-        ("102", "good_list", "home", 18000), ("102", "good_list", "detail", 30000),
+        spark, ("p", "start", None, 4000), ("p", "start", None, 4600), ("q", "start", "", 7000),
+        ("q", "list", "start", 21000), ("r", "start", None, 100), ("r", "list", "start", 900), ("r", "cart", "list", 40000),
     )
     key = lambda f: rows_of(f.select("common.mid", "ts"))
-    assert key(dwd_log.bounced_pages(frame)) == [("101", 10000), ("101", 11000), ("102", 12000)]
-    assert key(dwd_log.bounced_pages_timeout_only(frame)) == [("101", 11000), ("102", 12000)]
+    assert key(dwd_log.bounced_pages(frame)) == [("p", 4000), ("p", 4600), ("q", 7000)]
+    assert key(dwd_log.bounced_pages_timeout_only(frame)) == [("p", 4600), ("q", 7000)]
 
 
 @pytest.mark.parametrize("entry_follows", [True, False])
