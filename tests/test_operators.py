@@ -56,7 +56,7 @@ def dictionary(spark, **texts):
 
 def test_sizing():
     small, large = sized_for(1 << 30, 8), sized_for(100 << 40, 4000)
-    assert small["spark.sql.shuffle.partitions"] == "24" and large["spark.sql.shuffle.partitions"] == "200000"
+    assert small["spark.sql.shuffle.partitions"] == "24" and large["spark.sql.shuffle.partitions"] == "409600"
 
 
 def test_column_names():
@@ -95,6 +95,22 @@ def test_cart_quantities(spark):
     assert [r[0] for r in feed.select(added_quantity()).collect()] == ["1", "3", None, None, None]
 
 
+def test_two_changes_of_an_order_in_one_second_are_two(spark):
+    feed = changes(
+        spark,
+        change("order_detail", "insert", {"id": "7", "order_id": "3", "order_price": "2", "sku_num": "1", "source_type": "2401", "create_time": "2023-01-01 00:00:00"}),
+        *[change("order_info", "update", {"id": "3", "order_status": after}, {"order_status": before}) for before, after in
+          (("1001", "1002"), ("1002", "1003"), ("1002", "1003"))],
+    )
+    pre = dwd_db.order_pre_process(feed, dictionary(spark, **{"2401": "search"}))
+    assert sorted(r.order_status for r in pre.collect()) == ["1002", "1003"]
+
+
+def test_change_time_given_as_text(spark):
+    text = spark.createDataFrame([('{"database":"shop","table":"t","type":"insert","ts":"12","data":{"id":"1"}}',)], "value string")
+    assert [r.ts for r in ods.parse_changes(text).collect()] == [12]
+
+
 def test_cart_add_drops_unknown_code(spark):
     feed = changes(
         spark,
