@@ -17,7 +17,7 @@ MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 #: Most segments a worker remembers, and code points it encodes at once.
 REMEMBERED = 300_000
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 
 
 class Vocabulary(NamedTuple):
