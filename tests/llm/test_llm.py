@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import xxhash
 import pytest
 from brute import edit_distance, groups
 
@@ -104,8 +105,12 @@ def test_lines(spark, odd, none):
         texts.append((n, " ".join(words) + "\nShort one.\n" + f"only {n}"))
     frame = spark.createDataFrame(texts, SHAPE)
     lines = line_dedup.document_lines(frame, "doc_id", "text")
-    rows = [r for r in lines.collect() if r.sim is not None]
-    text_of, sim_of = {r.line_id: r.norm for r in rows}, {r.line_id: r.sim for r in rows}
+    text_of = {r.line_id: r.norm for r in lines.collect() if r.norm is not None}
+    found = line_dedup.fingerprints(lines.where("norm is not null").select("line_id", "norm").distinct())
+    sim_of = {r.line_id: r.sim for r in found.collect()}
+    for line_id, norm in text_of.items():
+        hashes = [xxhash.xxh64_intdigest(word, seed=42) for word in norm.split()]
+        assert sim_of[line_id] == sum(1 << k for k in range(60) if 2 * sum(h >> k & 1 for h in hashes) > len(hashes))
     links = [
         (a, b) for a in sim_of for b in sim_of
         if a < b and (sim_of[a] ^ sim_of[b]).bit_count() <= 3 and edit_distance(text_of[a], text_of[b]) <= int(0.2 * max(len(text_of[a]), len(text_of[b])) + 1e-9)
