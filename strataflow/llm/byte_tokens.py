@@ -1,16 +1,13 @@
-"""Byte-level token ids of whole texts, from a public rank file; words are remembered per worker."""
+"""Byte-level token ids of whole texts, from a public rank file."""
 
 from __future__ import annotations
 
 import base64
-import re
 
 import numpy as np
 
 #: Fixed value: the pattern that splits text before the merges of the rank files.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-REMEMBERED = 300_000
-_TWO_SPACES = re.compile(r"\s\s|\s$")
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -19,7 +16,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class ByteTokens:
-    """Encodes texts; ids and lengths of words seen before are looked up."""
+    """Encodes texts; ``width`` has the bytes of each id."""
 
     def __init__(self, ranks: dict[bytes, int]):
         import tiktoken
@@ -28,22 +25,9 @@ class ByteTokens:
         self.width = np.zeros(max(ranks.values(), default=0) + 1, np.int64)
         for token, rank in ranks.items():
             self.width[rank] = len(token)
-        self.known: dict[str, list[int]] = {}
 
     def encode(self, text: str | None) -> np.ndarray:
-        """Ids of one text. Single blanks between words are boundaries of the pattern, so words encode alone."""
+        """Ids of one whole text. Strings of control tokens in it are ordinary text."""
         if not text:
-            return np.zeros(0, np.int64)
-        if _TWO_SPACES.search(text):
-            return np.array(self.encoding.encode_ordinary(text), np.int64)
-        if len(self.known) > REMEMBERED:
-            self.known = {}
-        known, out = self.known, []
-        head, *words = text.split(" ")
-        out.extend(self.encoding.encode_ordinary(head))
-        for word in words:
-            ids = known.get(word)
-            if ids is None:
-                ids = known[word] = self.encoding.encode_ordinary(" " + word)
-            out += ids
-        return np.array(out, np.int64)
+            return np.zeros(0, np.uint32)
+        return self.encoding.encode_to_numpy(text, disallowed_special=())
