@@ -34,11 +34,11 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
-def saved(frame: DataFrame, label: str) -> DataFrame:
+def saved(frame: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """Write to the shared scratch folder and read back: cuts lineage and survives lost executors."""
     spark = frame.sparkSession
     path = scratch_path(spark, label)
-    frame.write.parquet(path)
+    frame.write.parquet(path, compression=compression)
     return spark.read.schema(frame.schema).parquet(path)
 
 

@@ -98,7 +98,7 @@ def training_order(
     spark = docs.sparkSession
     folder = scratch_path(spark, "training-order")
     # Written first, so that a lost task cannot number its sequences in another way.
-    cut = saved(sequences(docs, ranks_path, key, text, length), "sequences")
+    cut = saved(sequences(docs, ranks_path, key, text, length), "sequences", compression="zstd")
     numbered = cut.select("doc_id", "part", "n_tokens", "payload", F.monotonically_increasing_id().alias("mono"))
     width = 1 << 33
     counts = numbered.groupBy(F.floor(F.col("mono") / width).alias("split")).count().orderBy("split").collect()
@@ -150,7 +150,7 @@ def training_order(
 
     ordered = placed.repartitionByRange("shard").sortWithinPartitions("slot")
     shape = f"shard bigint, first_slot bigint, n_sequences int, parts {parts_type}, payload binary"
-    ordered.mapInArrow(pack, shape).write.parquet(f"{folder}/shards")
+    ordered.mapInArrow(pack, shape).write.parquet(f"{folder}/shards", compression="zstd")
     return folder
 
 
