@@ -95,7 +95,7 @@ def route_changes(upserts: DataFrame, config: DataFrame) -> DataFrame:
 
     A change row whose table is not configured is dropped. Only configured columns stay in the map; a
     configured column the change row lacks is added as NULL, so a dimension row always has all of
-    them.
+    them. ``position`` is the place of the row in its feed, such as an offset, if the rows have one.
     """
     wanted = F.split("sink_columns", ",")
     routes = config.select(
@@ -111,6 +111,7 @@ def route_changes(upserts: DataFrame, config: DataFrame) -> DataFrame:
         kept.alias("data"),
         F.col("type").alias("operate_type"),
         "ts",
+        (F.col("position") if "position" in upserts.columns else F.lit(None)).cast("long").alias("position"),
     )
 
 

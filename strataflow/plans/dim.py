@@ -9,6 +9,10 @@ from strataflow.operators.latest import keep_latest
 from strataflow.operators.routing import dimension_table, route_changes
 from strataflow.schemas import DIMENSION_COLUMNS, ROUTE_CONFIG
 
+#: What decides between writes of one row, in batch and on streams alike: the time in whole seconds, then the place
+#: in the feed, and without one an update comes after an insert.
+WRITE_ORDER = ("ts", "position", "operate_type")
+
 
 def default_config(spark: SparkSession) -> DataFrame:
     """The seed routing table as a local relation, so its size is known to the optimizer."""
@@ -25,7 +29,7 @@ def dim_rows(changes: DataFrame, config: DataFrame, database: str | None = None)
 
 
 def dim_snapshot(
-    changes: DataFrame, config: DataFrame, database: str | None = None, order: tuple[str, ...] = ("ts",)
+    changes: DataFrame, config: DataFrame, database: str | None = None, order: tuple[str, ...] = WRITE_ORDER
 ) -> DataFrame:
     """State of all dimension tables after the change rows: the latest write per table and id."""
     return keep_latest(dim_rows(changes, config, database), ["sink_table", "id"], list(order))

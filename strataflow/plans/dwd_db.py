@@ -4,7 +4,8 @@ In batch the joins are plain equi-joins. On streams pass ``hold`` (and ``delay``
 bounded in event time, which lets Spark drop old join state.
 
 Change feeds deliver at least once. In batch, rows that feed a join are first reduced to the latest
-version per id, so copies cannot multiply in a join.
+version per id; streams drop exact copies that come within the watermark's delay. So copies cannot
+multiply in a join.
 """
 
 from __future__ import annotations
@@ -48,17 +49,23 @@ def _join(left, right, on, times, hold, how="inner", ahead="0 seconds"):
     return joined.drop(times[1], *[right_key for _, right_key in on])
 
 
+def _once(timed: DataFrame, at: str, delay: str) -> DataFrame:
+    """A watermark on ``at``, and exact copies within its delay dropped; stamps of writing do not tell copies apart."""
+    version = [f.name for f in timed.schema.fields if f.dataType.typeName() != "map" and f.name not in (at, "row_op_ts")]
+    return timed.withWatermark(at, delay).dropDuplicatesWithinWatermark(version)
+
+
 def _joinable(rows: DataFrame, keys: list[str], seconds: str, at: str, hold: str | None, delay: str) -> DataFrame:
     """Ready rows for a join: an event time ``at``, and one version per key.
 
-    In batch that is the latest version. A stream gets a watermark instead and leaves versions to the
+    In batch that is the latest version. A stream drops exact copies and leaves versions to the
     summary layer. Where the other side of the join may be skewed, ``keys`` holds more than the join
     key: the join then shuffles this side anew, and adaptive execution can split a hot key only
     between two fresh shuffles.
     """
     timed = rows.withColumn(at, from_seconds(F.col(seconds).try_cast("long")))
     if hold is not None:
-        return timed.withWatermark(at, delay)
+        return _once(timed, at, delay)
     rest = [name for name in rows.columns if name not in keys and name not in (seconds, "old")]
     return keep_latest(timed, keys, [seconds, *rest])
 
@@ -189,7 +196,7 @@ def pay_detail(
         {"id": "order_detail_id", "split_total_amount": "split_payment_amount", "ts": "_line_ts"}
     ).withColumn("_line_at", from_seconds(F.col("_line_ts").try_cast("long")))
     if hold is not None:
-        lines = lines.withWatermark("_line_at", delay)
+        lines = _once(lines, "_line_at", delay)
     joined = _join(payments, lines, [("_pay_order", "order_id")], ("_pay_at", "_line_at"), hold)
     # The helper drops the right key; it equals the payment's order.
     joined = joined.withColumnRenamed("_pay_order", "order_id")

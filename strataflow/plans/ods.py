@@ -33,12 +33,15 @@ def parse_log(
     )
 
 
-def parse_changes(text: DataFrame, value: str = "value") -> DataFrame:
-    """Change-row text -> database, table, type, ts (epoch seconds), data and old maps."""
+def parse_changes(text: DataFrame, value: str = "value", carry: tuple[str, ...] = ()) -> DataFrame:
+    """Change-row text -> database, table, type, ts (epoch seconds), data and old maps.
+
+    ``carry`` names further columns to keep, such as ``position``, the place of a row in its feed.
+    """
     # A time that comes as text is read as a number too, and does not make its row unreadable.
     as_text = T.StructType([T.StructField(f.name, T.StringType()) if f.name == "ts" else f for f in CHANGE_ROW.fields])
     parsed = _objects(text, as_text, value)
-    return parsed.select(*[F.expr("try_cast(_r.ts AS BIGINT)").alias(n) if n == "ts" else F.col("_r")[n].alias(n) for n in CHANGE_ROW.fieldNames()])
+    return parsed.select(*[F.expr("try_cast(_r.ts AS BIGINT)").alias(n) if n == "ts" else F.col("_r")[n].alias(n) for n in CHANGE_ROW.fieldNames()], *carry)
 
 
 def is_json_object(value: str = "value"):

@@ -20,7 +20,11 @@ _GONE = "_gone"
 
 
 class UpsertTable:
-    """Rows of ``schema`` keyed by ``keys``; ``order`` decides between writes of one batch."""
+    """Rows of ``schema`` keyed by ``keys``; ``order`` decides between writes of one batch.
+
+    Between batches the later one wins, or with ``batch_first=False`` the greater ``order``, so that rows
+    arriving late end as they do in one batch.
+    """
 
     def __init__(
         self,
@@ -31,9 +35,11 @@ class UpsertTable:
         order: Sequence[str],
         partition_by: str | None = None,
         deleted: str | None = None,
+        batch_first: bool = True,
     ):
         self._spark, self._path, self._schema = spark, path.rstrip("/"), schema
         self._keys, self._order, self._partition_by, self._deleted = list(keys), list(order), partition_by, deleted
+        self._across = [_BATCH, *order] if batch_first else [*order, _BATCH]
 
     def write_batch(self, rows: DataFrame, batch: int) -> None:
         """``foreachBatch`` target."""
@@ -71,7 +77,7 @@ class UpsertTable:
         rows = rows.select(*stored.fieldNames())
         if condition is not None:
             rows = rows.where(condition)
-        return keep_latest(rows, self._keys, [_BATCH, *self._order])
+        return keep_latest(rows, self._keys, self._across)
 
     def _save(self, rows: DataFrame, folder: str) -> None:
         writer = rows.write.mode("overwrite")

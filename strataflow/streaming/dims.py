@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from strataflow.operators.routing import dimension_table
-from strataflow.plans.dim import dim_rows
+from strataflow.plans.dim import WRITE_ORDER, dim_rows
 from strataflow.schemas import dimension_schema
 from strataflow.sinks.upsert import UpsertTable
 from strataflow.streaming.runner import start
@@ -20,6 +20,7 @@ STORED = T.StructType(
         T.StructField("data", T.MapType(T.StringType(), T.StringType())),
         T.StructField("operate_type", T.StringType()),
         T.StructField("ts", T.LongType()),
+        T.StructField("position", T.LongType()),
     ]
 )
 
@@ -32,7 +33,7 @@ class DimensionStore:
 
     def __init__(self, spark: SparkSession, path: str):
         self._spark = spark
-        self._rows = UpsertTable(spark, path, STORED, ["sink_table", "id"], ["ts", "operate_type"], "sink_table")
+        self._rows = UpsertTable(spark, path, STORED, ["sink_table", "id"], WRITE_ORDER, "sink_table", batch_first=False)
 
     def upsert(self, changes: DataFrame, config: DataFrame, batch: int, database: str | None = None) -> None:
         self._rows.write_batch(dim_rows(changes, config, database), batch)

@@ -12,7 +12,7 @@ from pyspark.sql.readwriter import DataFrameWriter
 from strataflow.operators.latest import latest_in_window
 from strataflow.operators.timed_join import bounded_join
 from strataflow.operators.tumbling import window_totals, window_totals_per_member
-from strataflow.plans import dwd_log, dws
+from strataflow.plans import dim, dwd_db, dwd_log, dws
 from strataflow.sinks import UpsertTable, branch_messages, jdbc_batch
 from strataflow.sinks.writers import JDBC_ROWS
 from strataflow.sources import kafka_text, text_files
@@ -278,3 +278,45 @@ def test_per_batch_function(spark, tmp_path):
     )
     query.awaitTermination()
     assert sizes == [(0, 1), (1, 1)]
+
+
+def test_copies_do_not_multiply_in_stream_joins(spark, tmp_path):
+    feed = Feed(spark, tmp_path / "changes", CHANGE)
+
+    def rows(n, at):
+        line = {"id": n, "order_id": n, "sku_num": "2", "order_price": "3", "source_type": "2401"}
+        return [
+            ("shop", "order_detail", "insert", at, line, None),
+            ("shop", "order_detail_coupon", "insert", at + 1, {"order_detail_id": n, "coupon_id": "c"}, None),
+            ("shop", "order_detail_activity", "insert", at + 1, {"order_detail_id": n, "activity_id": "a"}, None),
+            ("shop", "order_info", "insert", at, {"id": n, "order_status": "1001"}, None),
+            # Two changes within one second are two.
+            ("shop", "order_info", "update", at + 2, {"id": n, "order_status": "1002"}, {"order_status": "1001"}),
+            ("shop", "order_info", "update", at + 2, {"id": n, "order_status": "1003"}, {"order_status": "1002"}),
+        ]
+
+    feed.add(rows("1", 1_704_067_200) * 2).add(rows("1", 1_704_067_200)).add(rows("future", 4_070_908_800))
+    dictionary = spark.createDataFrame([("2401", "search")], "dic_code string, dic_name string")
+    made = dwd_db.order_pre_process(feed.stream(), dictionary, "shop", hold=dwd_db.ORDER_HOLD)
+    found = run_available(made.select("id", "coupon_id", "activity_id", "order_status"), "copies").where("id = '1'")
+    assert bag(found) == Counter([("1", "c", "a", status) for status in ("1001", "1002", "1003")])
+
+
+def test_dimension_writes_of_one_second(spark, tmp_path):
+    """The place in the feed decides, the same in one batch, in several, and in any order."""
+    schema = CHANGE + ", position long"
+
+    def write(kind, ts, place, name):
+        return ("shop", "base_region", kind, ts, {"id": "1", "region_name": name}, None, place)
+
+    data = [write("insert", 5, 1, "first"), write("update", 5, 3, "last"), write("update", 5, 2, "second"), write("update", 4, 9, "late")]
+    config = dim.default_config(spark)
+    snapshot = dim.dim_snapshot(spark.createDataFrame(data, schema), config, "shop")
+    assert [r.region_name for r in dim.dim_table(snapshot, "base_region").collect()] == ["last"]
+    store = DimensionStore(spark, str(tmp_path / "rows"))
+    for n, one in enumerate(data):
+        store.upsert(spark.createDataFrame([one], schema), config, n, "shop")
+    assert [r["data"]["region_name"] for r in store.rows().collect()] == ["last"]
+    plain = [row[:-1] for row in data[:2]]
+    snapshot = dim.dim_snapshot(spark.createDataFrame(plain, CHANGE), config, "shop")
+    assert [r.region_name for r in dim.dim_table(snapshot, "base_region").collect()] == ["last"]
