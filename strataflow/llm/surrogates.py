@@ -113,7 +113,12 @@ def surrogate(value: Column, attempt: Column, secret: str) -> Column:
     """
     kind = kind_of(value)
     of = canonical(kind, value)
-    stream = _stream(secret, kind, of, attempt)
+    # Handed on as the element of an array, so that each is computed once and not for every character made.
+    given = F.struct(value.alias("value"), kind.alias("kind"), of.alias("of"), _stream(secret, kind, of, attempt).alias("stream"))
+    return F.get(F.transform(F.array(given), lambda g: _made(g["value"], g["kind"], g["of"], g["stream"], attempt, secret)), F.lit(0))
+
+
+def _made(value: Column, kind: Column, of: Column, stream: Column, attempt: Column, secret: str) -> Column:
     tail = F.regexp_extract(value, r"(\.[\w-]+)$", 1)
     body = F.substring(value, F.lit(1), F.length(value) - F.length(tail))
     email = F.concat(_same_format(F.when(kind == "email", body).otherwise(""), stream, F.lit(0)), tail)
@@ -137,8 +142,7 @@ def surrogate(value: Column, attempt: Column, secret: str) -> Column:
     gender = F.when(bare.isin(*FEMALE), "f").otherwise("m")
     cyrillic = value.rlike(r"\p{IsCyrillic}")
 
-    def drawn_name(part: Column, i: Column) -> Column:
-        own = _stream(secret, F.lit("part"), F.lower(part), attempt)
+    def drawn_name(own: Column, i: Column) -> Column:
         made = {}
         for script, syllables in (("latin", LATIN), ("cyrillic", CYRILLIC)):
             pick = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda k: F.get(F.array(*[F.lit(s) for s in syllables]), _nibble(own, k, 16))), "")
@@ -147,7 +151,7 @@ def surrogate(value: Column, attempt: Column, secret: str) -> Column:
             made[script] = F.initcap(F.concat(pick, F.when((i == 0) & value.rlike(r" \S+ "), end).otherwise("")))
         return F.when(cyrillic, made["cyrillic"]).otherwise(made["latin"])
 
-    names = F.concat(title, F.array_join(F.transform(F.split(F.regexp_replace(value, r"^\S+ ", ""), " "), drawn_name), " "))
+    names = F.concat(title, F.array_join(F.transform(F.transform(F.split(F.regexp_replace(value, r"^\S+ ", ""), " "), lambda part: _stream(secret, F.lit("part"), F.lower(part), attempt)), drawn_name), " "))
     return (
         F.when(kind == "email", email).when(kind == "secret", hexes).when(kind == "ip", ip).when(kind == "card", card).when(kind == "name", names).otherwise(phone)
     )
