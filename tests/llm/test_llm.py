@@ -270,3 +270,14 @@ def test_pipeline_stages(spark, folder, odd):
     assert corpus_pipeline.lines(spark, odd, folder).columns == odd.columns
     assert corpus_pipeline.near_duplicates(spark, odd, folder).columns == odd.columns
     assert corpus_pipeline.quality(spark, odd, folder).count() <= len(ODD)
+
+
+def test_leaks_are_dropped_by_row(spark, tmp_path):
+    item = " ".join(f"item{n}" for n in range(30))
+    spark.createDataFrame([(1, item)], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    plain = [" ".join(f"plain{n}x{k}" for k in range(60)) for n in range(3)]
+    docs = [(None, f"{plain[0]} {item}"), (None, plain[1]), (None, plain[1]), (7, f"{item} {plain[0]}"), (7, plain[2]), (8, plain[2]), (9, None), (None, None)]
+    frame = spark.createDataFrame(docs, SHAPE).selectExpr("*", "1 as version", "2 as row")
+    left = corpus_pipeline.decontamination(spark, frame, str(tmp_path))
+    assert left.columns == frame.columns
+    assert Counter((r.doc_id, r.text) for r in left.collect()) == Counter(d for d in docs if item not in (d[1] or ""))
