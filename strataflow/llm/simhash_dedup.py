@@ -12,6 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strataflow.llm import shingle_join
 from strataflow.llm.shared import column, components, id_and_text, saved, small_batches
 
 RADIUS = 2
@@ -26,16 +27,21 @@ _LOWER = {upper: upper + 32 for upper in range(65, 91)}
 _WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
-    """Signed 64-bit SimHash of a whole text; zero without words."""
+def shingle_hashes(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> np.ndarray:
+    """A hash of each run of so many words, or of all words of a shorter text; none without words."""
     words = _WORDS.findall(text.translate(_LOWER)) if text else []
-    if not words:
-        return 0
     if len(words) <= shingle:
-        pieces = [" ".join(words)]
+        pieces = [" ".join(words)] if words else []
     else:
         pieces = map(" ".join, zip(*(words[i:] for i in range(shingle))))
-    hashes = np.fromiter((xxhash.xxh64_intdigest(p, seed) for p in pieces), np.uint64)
+    return np.fromiter((xxhash.xxh64_intdigest(p, seed) for p in pieces), np.uint64)
+
+
+def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
+    """Signed 64-bit SimHash of a whole text; zero without words."""
+    hashes = shingle_hashes(text, shingle, seed)
+    if not len(hashes):
+        return 0
     votes = np.zeros(64, np.int64)
     for start in range(0, len(hashes), 4096):
         part = hashes[start : start + 4096].astype(">u8").view(np.uint8).reshape(-1, 8)
@@ -137,7 +143,7 @@ def fingerprint_links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     return sent.groupBy("cell", "tile").applyInPandas(compare, "a bigint, b bigint")
 
 
-def simhash_components(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
+def simhash_components(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
     """``doc_id, version, fp, component, component_id`` for every row of ``docs``; ``component`` is a fingerprint.
 
     ``component_id`` is the least id reachable over links of at most ``radius`` differing bits,
@@ -145,7 +151,7 @@ def simhash_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     a NULL id are linked like any other and take the least id of their group (NULL without one).
     NULL, empty and blank texts have fingerprint zero. Repeated rows come back repeated.
     """
-    found = saved(fingerprints(docs, key, text), "fingerprints")
+    found = saved(fingerprints(docs, key, text, shingle), "fingerprints")
     nodes = found.groupBy("fp").agg(F.min("doc_id").alias("least_id"))
     groups = components(fingerprint_links(nodes.select("fp"), radius)).withColumnRenamed("node", "fp")
     grouped = saved(nodes.join(groups, "fp", "left").withColumn("component", F.coalesce("component", "fp")), "nodes")
@@ -154,14 +160,18 @@ def simhash_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     return found.join(by_fp, "fp").select("doc_id", "version", "fp", "component", "component_id")
 
 
-def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, similarity: float | None = None) -> DataFrame:
     """The rows of ``docs`` that stand for their groups: the least id, then the least version; one of repeated rows.
 
-    NULL ids stand for a group only if all its ids are NULL.
+    NULL ids stand for a group only if all its ids are NULL. With a similarity, groups are those of exact Jaccard
+    similarity of the shingles (``shingle_join``), which SimHash reaches only by a radius near that of unlike texts.
     """
-    found = simhash_components(docs, key, text)
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "version"))
-    stands = found.groupBy("component").agg(first.alias("first")).select(F.col("first.version").alias("__version"))
+    if similarity is None:
+        found = simhash_components(docs, key, text, shingle=shingle)
+        first = F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "version"))
+        stands = found.groupBy("component").agg(first.alias("first")).select(F.col("first.version").alias("__version"))
+    else:
+        stands = shingle_join.firsts(docs, shingle_hashes, shingle, similarity, key, text).withColumnRenamed("version", "__version")
     rows = docs.select(F.struct("*").alias("row"), F.xxhash64(column(docs, key), column(docs, text)).alias("__version"))
     return rows.join(stands, "__version", "left_semi").groupBy("__version").agg(F.first("row").alias("row")).select("row.*")
 

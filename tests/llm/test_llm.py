@@ -281,3 +281,23 @@ def test_leaks_are_dropped_by_row(spark, tmp_path):
     left = corpus_pipeline.decontamination(spark, frame, str(tmp_path))
     assert left.columns == frame.columns
     assert Counter((r.doc_id, r.text) for r in left.collect()) == Counter(d for d in docs if item not in (d[1] or ""))
+
+
+def test_near_duplicates_by_jaccard(spark, odd, none):
+    rng = random.Random(6)
+    base = [[f"w{rng.randrange(500)}" for _ in range(90)] for _ in range(6)]
+    common = [f"c{n}" for n in range(25)]
+    texts = [(None if n == 7 else n, " ".join(common + [rng.choice("xyz") if rng.random() < n % 4 * 0.012 else w for w in base[n % 6]])) for n in range(90)]
+    texts += [(200 + n, " ".join(common + [f"s{rng.randrange(10**6)}" for _ in range(n)])) for n in range(40)]
+    shingles = []
+    for _, text in texts:
+        words = text.split()
+        shingles.append({tuple(words[k : k + 5]) for k in range(len(words) - 4)})
+    pairs = [(i, j) for i in range(len(texts)) for j in range(i + 1, len(texts)) if len(shingles[i] & shingles[j]) >= 0.8 * len(shingles[i] | shingles[j])]
+    group = groups(range(len(texts)), pairs)
+    assert any(shingles[i] != shingles[j] for i, j in pairs) and len(set(group.values())) < len(texts)
+    want = {min((texts[i][0] is None, texts[i][0] or 0, i) for i in group if group[i] == g)[2] for g in set(group.values())}
+    got = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(texts, SHAPE), None).collect()
+    assert Counter((r.doc_id, r.text) for r in got) == Counter(texts[i] for i in want)
+    assert sorted(r.doc_id or 0 for r in corpus_pipeline.near_duplicates(spark, odd, None).collect()) == [0, 1, 5, 6, 7, 8]
+    assert corpus_pipeline.near_duplicates(spark, none, None).count() == 0
