@@ -26,6 +26,8 @@ PATTERNS = {
 }
 #: One pattern that finds every kind; earlier kinds win where two begin at one place.
 ANY = "|".join(PATTERNS.values())
+#: Attempts in an entity's own format before e-mail addresses get longer and octets of any width; names grow with every attempt.
+OWN_FORMAT = 8
 #: Rounds of collision repair after which the job stops with an error instead of an ambiguous result.
 ROUNDS = 30
 
@@ -109,7 +111,9 @@ def surrogate(value: Column, attempt: Column, secret: str) -> Column:
 
     E-mail addresses keep their last label, phone numbers their country code, card numbers
     the first digit and a right check digit; addresses have octets of the same width. Names keep
-    their title; each part is drawn from the part itself, so that a family name stays one.
+    their title; each part is drawn from the part itself, so that a family name stays one. Names get a
+    syllable more with each attempt; from attempt ``OWN_FORMAT`` on, e-mail addresses get a letter more
+    with each, and octets have any width, so that a format's values never bound the corpus.
     """
     kind = kind_of(value)
     of = canonical(kind, value)
@@ -121,7 +125,9 @@ def surrogate(value: Column, attempt: Column, secret: str) -> Column:
 def _made(value: Column, kind: Column, of: Column, stream: Column, attempt: Column, secret: str) -> Column:
     tail = F.regexp_extract(value, r"(\.[\w-]+)$", 1)
     body = F.substring(value, F.lit(1), F.length(value) - F.length(tail))
-    email = F.concat(_same_format(F.when(kind == "email", body).otherwise(""), stream, F.lit(0)), tail)
+    more = F.greatest(attempt - (OWN_FORMAT - 1), F.lit(0))
+    letters = F.array_join(F.transform(F.slice(F.sequence(F.lit(0), more), 2, more), lambda i: _char("abcdefghijklmnopqrstuvwxyz", _nibble(stream, 31 - i, 26))), "")
+    email = F.concat(letters, _same_format(F.when(kind == "email", body).otherwise(""), stream, F.lit(0)), tail)
     hexes = F.array_join(
         F.transform(F.split(F.when(kind == "secret", value).otherwise(""), ""), lambda c, i: F.when(c == "", "").otherwise(_char("0123456789abcdef", _nibble(stream, i, 16)))), ""
     )
@@ -129,7 +135,8 @@ def _made(value: Column, kind: Column, of: Column, stream: Column, attempt: Colu
     def octet(part: Column, i: Column) -> Column:
         width = F.length(part)
         n = F.conv(F.substring(stream, i * 8 + 1, F.lit(7)), 16, 10).cast("long")
-        return F.when(width == 1, F.pmod(n, F.lit(9)) + 1).when(width == 2, F.pmod(n, F.lit(90)) + 10).otherwise(F.pmod(n, F.lit(155)) + 100).cast("string")
+        wide = F.when(attempt >= OWN_FORMAT, F.pmod(n, F.lit(254)) + 1)
+        return wide.when(width == 1, F.pmod(n, F.lit(9)) + 1).when(width == 2, F.pmod(n, F.lit(90)) + 10).otherwise(F.pmod(n, F.lit(155)) + 100).cast("string")
 
     ip = F.array_join(F.transform(F.split(F.when(kind == "ip", value).otherwise("1.1.1.1"), r"\."), octet), ".")
     digits = F.when(kind.isin("card", "phone"), of).otherwise("0000000000000")
@@ -145,7 +152,7 @@ def _made(value: Column, kind: Column, of: Column, stream: Column, attempt: Colu
     def drawn_name(own: Column, i: Column) -> Column:
         made = {}
         for script, syllables in (("latin", LATIN), ("cyrillic", CYRILLIC)):
-            pick = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda k: F.get(F.array(*[F.lit(s) for s in syllables]), _nibble(own, k, 16))), "")
+            pick = F.array_join(F.transform(F.sequence(F.lit(0), attempt + 3), lambda k: F.get(F.array(*[F.lit(s) for s in syllables]), _nibble(own, k, 16))), "")
             end = F.when(gender == "f", ENDS[(script, "f")]).otherwise(ENDS[(script, "m")])
             # The gender shows in a given name: the first of two parts.
             made[script] = F.initcap(F.concat(pick, F.when((i == 0) & value.rlike(r" \S+ "), end).otherwise("")))

@@ -301,3 +301,19 @@ def test_near_duplicates_by_jaccard(spark, odd, none):
     assert Counter((r.doc_id, r.text) for r in got) == Counter(texts[i] for i in want)
     assert sorted(r.doc_id or 0 for r in corpus_pipeline.near_duplicates(spark, odd, None).collect()) == [0, 1, 5, 6, 7, 8]
     assert corpus_pipeline.near_duplicates(spark, none, None).count() == 0
+
+
+def test_surrogates_never_run_out(spark, monkeypatch):
+    # One value for each number of syllables: as when all values of four syllables are taken.
+    monkeypatch.setattr(surrogates, "LATIN", ("ba",) * 16)
+    monkeypatch.setattr(surrogates, "OWN_FORMAT", 2)
+    texts = [(n, f"Mr {name} came") for n, name in enumerate(["Smith", "Jones", "Brown"])]
+    # An address that is its own only form, so no redraw in its format can replace it.
+    texts += [(9, "to _@-.com now")]
+    rows = {r.doc_id: r.text for r in surrogates.replace_entities(spark.createDataFrame(texts, SHAPE), "k").collect()}
+    assert len(set(rows.values())) == 4 and not set(rows.items()) & set(texts)
+    assert sorted(len(rows[n]) for n in range(3)) == [len("Mr  came") + 2 * k for k in (4, 5, 6)]
+    own = surrogates.surrogate(surrogates.F.col("v"), surrogates.F.col("a"), "k")
+    given = spark.createDataFrame([("1.2.3.4", a) for a in range(surrogates.OWN_FORMAT + 3)], "v string, a int")
+    drawn = [r[0] for r in given.orderBy("a").select(own).collect()]
+    assert all(len(x) == 7 for x in drawn[: surrogates.OWN_FORMAT]) and any(len(x) > 7 for x in drawn[surrogates.OWN_FORMAT :])
