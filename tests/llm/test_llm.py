@@ -317,3 +317,21 @@ def test_surrogates_never_run_out(spark, monkeypatch):
     given = spark.createDataFrame([("1.2.3.4", a) for a in range(surrogates.OWN_FORMAT + 3)], "v string, a int")
     drawn = [r[0] for r in given.orderBy("a").select(own).collect()]
     assert all(len(x) == 7 for x in drawn[: surrogates.OWN_FORMAT]) and any(len(x) > 7 for x in drawn[surrogates.OWN_FORMAT :])
+
+
+def test_similar_lines_become_candidates(spark):
+    rng = random.Random(8)
+    texts = []
+    for n in range(120):
+        words = [rng.choice("bcdfg") + str(rng.randrange(300)) for _ in range(6 + n % 20)]
+        texts.append(" ".join(words))
+        for k in rng.sample(range(len(words)), 1 + len(words) // 10):
+            words[k] = "z" + str(rng.randrange(300))
+        texts.append(" ".join(words))
+    frame = spark.createDataFrame([(n, t) for n, t in enumerate(texts)], SHAPE)
+    lines = line_dedup.document_lines(frame, "doc_id", "text")
+    text_of = {r.line_id: r.norm for r in lines.collect()}
+    ids = {t: i for i, t in text_of.items()}
+    want = [(ids[a], ids[b]) for a, b in zip(texts[::2], texts[1::2]) if edit_distance(a, b) <= int(0.2 * max(len(a), len(b)) + 1e-9)]
+    group = groups(ids.values(), [tuple(r) for r in line_dedup.line_links(lines, line_dedup.WIDE).collect()])
+    assert len(want) > 60 and sum(group[a] == group[b] for a, b in want) >= 0.9 * len(want)
