@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from strataflow.llm import (
     chat_format, latent_search, line_dedup, pair_ranking, pieces, quality_rules, simhash_dedup, surrogates, token_counts, training_order,
+    warc,
 )
 from strataflow.llm.shared import table
 
@@ -66,14 +67,20 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(table(spark, folder, "documents"), f"{TOKENIZERS}/byte_bpe_50k.tiktoken")
 
 
+def op11_warc(spark: SparkSession, folder: str) -> DataFrame:
+    back = warc.read_archive(spark, warc.write_archive(table(spark, folder, "pages")))
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query for query in (
         op1_sentencepiece, op2_latent_decontamination, op3_chat_format, op4_pair_ranking, op5_simhash_dedup, op6_training_order,
-        op7_line_dedup, op8_surrogates, op9_quality_rules, op10_token_counts,
+        op7_line_dedup, op8_surrogates, op9_quality_rules, op10_token_counts, op11_warc,
     )
 }
 
 ORACLE: dict[str, str] = {
     "op3_chat_format": chat_format.oracle(),
     "op9_quality_rules": quality_rules.oracle(),
+    "op11_warc": warc.oracle(),
 }
