@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataflow.llm import (
-    chat_format, latent_search, line_dedup, pair_ranking, pieces, quality_rules, simhash_dedup, surrogates, token_counts, training_order,
+    chat_format, latent_search, line_dedup, pair_ranking, periodic_runs, pieces, quality_rules, simhash_dedup, surrogates, token_counts, training_order,
     warc,
 )
 from strataflow.llm.shared import table
@@ -72,10 +72,15 @@ def op11_warc(spark: SparkSession, folder: str) -> DataFrame:
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = periodic_runs.with_planted(table(spark, folder, "documents").select("doc_id", "text"))
+    return periodic_runs.digests(periodic_runs.periodic_runs(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query for query in (
         op1_sentencepiece, op2_latent_decontamination, op3_chat_format, op4_pair_ranking, op5_simhash_dedup, op6_training_order,
-        op7_line_dedup, op8_surrogates, op9_quality_rules, op10_token_counts, op11_warc,
+        op7_line_dedup, op8_surrogates, op9_quality_rules, op10_token_counts, op11_warc, op12_periodic_runs,
     )
 }
 
