@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataflow.llm import (
-    chat_format, latent_search, line_dedup, pair_ranking, periodic_runs, pieces, quality_rules, simhash_dedup, surrogates, token_counts, training_order,
-    warc,
+    chat_format, latent_search, lexical_index, line_dedup, pair_ranking, periodic_runs, pieces, quality_rules, simhash_dedup, surrogates,
+    token_counts, training_order, warc,
 )
 from strataflow.llm.shared import table
 
@@ -77,10 +77,15 @@ def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     return periodic_runs.digests(periodic_runs.periodic_runs(docs))
 
 
+def op13_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    index = lexical_index.build_index(table(spark, folder, "documents"))
+    return lexical_index.search(spark, index, table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query for query in (
         op1_sentencepiece, op2_latent_decontamination, op3_chat_format, op4_pair_ranking, op5_simhash_dedup, op6_training_order,
-        op7_line_dedup, op8_surrogates, op9_quality_rules, op10_token_counts, op11_warc, op12_periodic_runs,
+        op7_line_dedup, op8_surrogates, op9_quality_rules, op10_token_counts, op11_warc, op12_periodic_runs, op13_lexical_search,
     )
 }
 
@@ -88,4 +93,5 @@ ORACLE: dict[str, str] = {
     "op3_chat_format": chat_format.oracle(),
     "op9_quality_rules": quality_rules.oracle(),
     "op11_warc": warc.oracle(),
+    "op13_lexical_search": lexical_index.oracle(),
 }
