@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataflow.llm.shared import column, id_and_text, saved, small_batches
@@ -263,8 +263,13 @@ def find_runs(docs: DataFrame, long: int = LONG) -> DataFrame:
     Texts of more than ``long`` bytes are dealt out tile by tile; others are solved where they are read.
     """
     size = F.coalesce(F.octet_length("text"), F.lit(0))
-    near = _parts(_exploded(docs.where(size <= long)))
-    far = _parts(_exploded(docs.where(size > long)).repartition("doc", "high", "core"))
+
+    def some(wanted: Column) -> DataFrame:
+        # A filter would be pushed into the expressions that make the text, and evaluate them again for each word.
+        return docs.select("doc", F.explode(F.when(wanted, F.array("text"))).alias("text"))
+
+    near = _parts(_exploded(some(size <= long)))
+    far = _parts(_exploded(some(size > long)).repartition("doc", "high", "core"))
     return stitched(near.unionByName(far))
 
 
