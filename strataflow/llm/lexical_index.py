@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strataflow.llm.shared import id_and_text, saved, scratch_path, small_batches
+from strataflow.session import session_conf
 
 #: Fixed values of the score: the normaliser is LEAST_M + LENGTH_SHARE * n * N div L.
 LEAST_M, LENGTH_SHARE, UNIT, PER_TF, PER_M = 75, 25, 1_000_000_000, 1000, 12
@@ -77,15 +78,14 @@ def _block(m: int, ids: pa.Array, terms: list[bytes], tfs: list[bytes]) -> pa.Re
     begins = np.flatnonzero(np.concatenate([[True], (term[1:] != term[:-1]) | (tf[1:] != tf[:-1])]))
     group_docs = np.diff(np.append(begins, len(term)))
 
-    def one(values, kind) -> pa.Array:
-        return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values, kind))
+    def packed(values: np.ndarray) -> pa.Array:
+        return pa.array([values.astype("<i4").tobytes()], pa.binary())
 
     columns = {
         "m": pa.array([m], pa.int64()), "n_docs": pa.array([len(lists)], pa.int32()), "docs": pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
         "terms": pa.ListArray.from_arrays(pa.array([0, len(names)], pa.int32()), names.take(pa.array(order))),
-        "term_docs": one(np.bincount(term, minlength=len(names)), pa.int32()),
-        "term_groups": one(np.bincount(term[begins], minlength=len(names)), pa.int32()),
-        "tfs": one(tf[begins], pa.int32()), "group_docs": one(group_docs, pa.int32()), "places": one(place, pa.int32()),
+        "term_docs": packed(np.bincount(term, minlength=len(names))), "term_groups": packed(np.bincount(term[begins], minlength=len(names))),
+        "tfs": packed(tf[begins]), "group_docs": packed(group_docs), "places": packed(place),
     }
     return pa.RecordBatch.from_pydict(columns)
 
@@ -128,7 +128,7 @@ def build_index(docs: DataFrame, key: str = "doc_id", text: str = "text") -> str
             yield _block(held_m, pa.array(ids, kind), terms, tfs)
 
     key_type = counted.schema["doc_id"].dataType.simpleString()
-    shape = f"m bigint, n_docs int, docs array<{key_type}>, terms array<binary>, term_docs array<int>, term_groups array<int>, tfs array<int>, group_docs array<int>, places array<int>"
+    shape = f"m bigint, n_docs int, docs array<{key_type}>, terms array<binary>, term_docs binary, term_groups binary, tfs binary, group_docs binary, places binary"
     dealt.mapInArrow(pack, shape).write.parquet(f"{folder}/blocks", compression="zstd")
     spark.createDataFrame([(n_docs, n_terms)], "n_docs bigint, n_terms bigint").coalesce(1).write.parquet(f"{folder}/about")
     return folder
@@ -167,6 +167,10 @@ def _passes(items: DataFrame) -> Iterator[Items]:
         yield made()
 
 
+def _unpacked(value: pa.BinaryScalar) -> np.ndarray:
+    return np.frombuffer(value.as_buffer(), "<i4")
+
+
 def _document_counts(blocks: DataFrame, items) -> np.ndarray:
     """How many documents hold each term of the vocabulary."""
 
@@ -176,7 +180,8 @@ def _document_counts(blocks: DataFrame, items) -> np.ndarray:
         for batch in batches:
             at = pc.index_in(batch.column(0).flatten(), value_set=wanted)
             held = at.is_valid().to_numpy(zero_copy_only=False)
-            np.add.at(total, at.fill_null(0).to_numpy()[held], batch.column(1).flatten().to_numpy()[held])
+            docs = np.concatenate([_unpacked(x) for x in batch.column(1)])
+            np.add.at(total, at.fill_null(0).to_numpy()[held], docs[held])
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["term", "docs"])
 
@@ -236,7 +241,7 @@ def _first_strata(blocks: DataFrame, items) -> DataFrame:
         strata = np.zeros((len(items.value.numbers), 0), np.int64)
         for batch in batches:
             for k, m in enumerate(batch.column(0).to_pylist()):
-                most = scorer.load(m, batch.column(1)[k].values, batch.column(2)[k].values.to_numpy(), batch.column(3)[k].values.to_numpy())
+                most = scorer.load(m, batch.column(1)[k].values, _unpacked(batch.column(2)[k]), _unpacked(batch.column(3)[k]))
                 again = strata == m  # by an earlier block of the stratum
                 known = again.any(1)
                 best = np.where(again, np.maximum(best, most[:, None]), best)
@@ -273,7 +278,7 @@ def _visited(blocks: DataFrame, items, least, strata, first: bool, k: int) -> Da
                 now = strata.value.get(m, np.zeros(0, np.int64))
                 if first and not len(now):
                     continue
-                term_docs, groups, tfs, group_docs, places = (x.values.to_numpy() for x in numbers)
+                term_docs, groups, tfs, group_docs, places = map(_unpacked, numbers)
                 most = scorer.load(m, terms.values, groups, tfs)
                 may = (most >= bar) & (most > 0)
                 chosen = now[may[now]] if first else np.setdiff1d(np.flatnonzero(may), now)
@@ -317,10 +322,16 @@ def search(spark: SparkSession, folder: str, items: DataFrame, key: str = "item_
     bound reaches the ``k``-th of those scores. A task gives ``k`` rows an item, and none sees more than a block at once.
     """
     small_batches(spark)
+    # A block is a long row: rows are read one by one, not thousands at a time as columns.
+    with session_conf(spark, spark__sql__parquet__enableNestedColumnVectorizedReader="false"):
+        return _searched(spark, folder, vectors(id_and_text(items, key, text)), k)
+
+
+def _searched(spark: SparkSession, folder: str, items: DataFrame, k: int) -> DataFrame:
     blocks = spark.read.parquet(f"{folder}/blocks")
     total = spark.read.parquet(f"{folder}/about").first().n_docs
     columns = blocks.select("m", "n_docs", "docs", "terms", "term_docs", "term_groups", "tfs", "group_docs", "places")
-    given = saved(vectors(id_and_text(items, key, text)).select("*", F.monotonically_increasing_id().alias("item")), "items")
+    given = saved(items.select("*", F.monotonically_increasing_id().alias("item")), "items")
     parts = []
     for some in _passes(given):
         df = _document_counts(blocks, spark.sparkContext.broadcast(some))

@@ -82,7 +82,7 @@ def test_bounds_hold(spark):
     some = lexical_index.Items(np.array([0]), [b"rare1", b"filler"], np.array([0]), np.array([0, 1]), np.array([1, 2]), np.array([900, 3]))
     scorer = lexical_index._Scorer(some)
     for row in blocks.collect():
-        columns = [np.array(x) for x in (row.term_groups, row.tfs, row.term_docs, row.group_docs, row.places)]
+        columns = [np.frombuffer(x, "<i4") for x in (row.term_groups, row.tfs, row.term_docs, row.group_docs, row.places)]
         bound = scorer.load(row.m, pa.array([bytes(t) for t in row.terms], pa.binary()), columns[0], columns[1])
         table = scorer.scores(row.m, np.array([0]), row.n_docs, columns[2], columns[1], columns[3], columns[4])
         assert bound[0] >= table.max()
