@@ -416,11 +416,24 @@ ORACLE: dict[str, str] = {
       SELECT trademark_id, any_value(counted.order_count) AS order_count, round(sum(order_amount), 2) AS order_amount
       FROM sku_window JOIN counted ON trademark_id IS NOT DISTINCT FROM tm_id
       WHERE stt >= '1996-01-01 00:00:00' AND edt <= '1999-01-01 00:00:00' GROUP BY trademark_id""",
-    # Streams joined within a time bound have results of their own.
-    "stream_order_pre_process": f"""WITH {LINES} SELECT id, order_id, user_id, order_status, sku_id, province_id,
-      activity_id, activity_rule_id, coupon_id, source_type_name, sku_num, split_original_amount, split_activity_amount,
-      split_coupon_amount, type FROM pre WHERE type = 'insert'""",
+    "stream_fresh_lookup": f"""WITH line AS (SELECT concat_ws('-', l_orderkey, l_linenumber) AS line, l_partkey, CAST(epoch(l_shipdate) AS BIGINT) AS ts FROM lineitem)
+      SELECT line, {_txt('l_partkey')} AS sku_id, ts,
+        CASE WHEN p_size > 25 AND ts >= 883612800 + p_partkey % 365 * 86400 THEN p_name || ' v2' ELSE p_name END AS sku_name,
+        p_partkey IS NULL AS missing
+      FROM line LEFT JOIN (SELECT * FROM part WHERE p_partkey % 100 <> 99) ON l_partkey = p_partkey""",
+    "stream_line_changelog": f"""WITH {LINES} SELECT id, order_id, sku_id, sku_num, create_time, split_total_amount, activity_id, activity_rule_id, coupon_id
+      FROM od LEFT JOIN act ON id = act_id LEFT JOIN cou ON id = cou_id""",
+    "stream_late_rows": f"""WITH rows AS (SELECT event_id AS log_id, epoch_us(ts) // 1000 AS ts, {_txt('user_id')} AS mid, event_id % 50 = 0 AS held, day(ts) AS d FROM events)
+      SELECT log_id, ts, mid FROM rows WHERE held AND log_id % 700 <> 0 AND ts < (SELECT max(ts) FROM rows WHERE NOT held AND d <= 24) - 3000""",
 }
+# On the stream the versions of a line share the time of its order.
+_PLACED = LINES.replace("ORDER BY od_ts DESC, sku_id DESC", "ORDER BY sku_id DESC").replace("ORDER BY l_shipdate DESC, activity_id", "ORDER BY activity_id")
+_PLACED = _PLACED.replace("ORDER BY l_shipdate DESC, coupon_id", "ORDER BY coupon_id").replace(
+    "CAST(epoch(l_shipdate) AS BIGINT) AS od_ts\n  FROM raw",
+    "CAST(epoch(o_orderdate) AS BIGINT) + l_linenumber AS od_ts\n  FROM raw JOIN orders ON l_orderkey = o_orderkey",
+)
+for _key in ("order_pre_process", "order_cancel"):
+    ORACLE[f"stream_{_key}"] = ORACLE[_key].replace(LINES, _PLACED)
 ORACLE["keyword_sql_lateral"] = ORACLE["keyword_window_count"]
 ORACLE["stream_pay_detail"] = f"SELECT * FROM ({ORACLE['pay_detail']}) WHERE CAST(order_id AS BIGINT) % 45 BETWEEN 1 AND 30"
 ORACLE["stream_order_refund"] = f"SELECT * EXCLUDE (ts) FROM ({ORACLE['order_refund']})"

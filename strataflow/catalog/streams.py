@@ -2,8 +2,8 @@
 
 A stream emits a window, an unmatched row or a timer result only when the watermark has passed it. So
 each source is joined by one row dated far in the future in a file of its own; its results are left
-out. All files of a table arrive in the first micro-batch, in which no row is late, so any file
-layout gives the full result.
+out. ``staged`` tables arrive in the first micro-batch as a whole, in which no row is late; those dealt
+out by ``in_batches`` arrive in several, in the order of their time, with the far-future row in one of its own.
 """
 
 from __future__ import annotations
@@ -12,20 +12,26 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strataflow.catalog import views as v
 from strataflow.catalog.batch import AWAY_DAYS, BOUNCE_MS, HOUR, TIE, WEEK, Query, _words, _page_fields
 from strataflow.functions import second_text
+from strataflow.operators.changes import data_columns, table_rows
 from strataflow.operators.latest import keep_latest, latest_in_session
 from strataflow.operators.routing import split_messages
 from strataflow.plans import dim, dwd_db, dwd_log, dws, ods
 from strataflow.session import scratch_path
 from strataflow.streaming import jobs
+from strataflow.streaming.changelog import changelog_left_join, folded, upsert_messages
 from strataflow.streaming.dims import DimensionStore, run_dimensions
+from strataflow.streaming.fresh import fresh_lookup
 from strataflow.streaming.runner import run_available
 
 FAR = "2099-01-01"
 FAR_SECONDS = "4070908800"
+#: Micro-batches of a table dealt out by time, and the files of each.
+PARTS, FILES = 4, 4
 BEYOND = f"stt >= '{FAR}'"
 STREAMS: dict[str, Query] = {}
 
@@ -47,6 +53,21 @@ class StreamTables(v.Tables):
         frame.write.parquet(path)
         return self._followed(self.spark.read.parquet(path), path, name, futures)
 
+    def in_batches(self, frame: DataFrame, name: str, part: Column, *futures: dict[str, str]) -> DataFrame:
+        """As ``staged``, read in micro-batches by ``part`` (0 to PARTS - 1) and the future rows as the last one."""
+        dealt, path = scratch_path(self.spark, f"{name}-parts"), scratch_path(self.spark, name)
+        frame.withColumn("_part", part.cast("int")).write.partitionBy("_part").parquet(dealt)
+        stored = self.spark.read.schema(T.StructType([*frame.schema.fields, T.StructField("_part", T.IntegerType())])).parquet(dealt)
+        for n in range(PARTS):
+            # As many files each, so that a trigger takes one part; files come by their time of writing.
+            stored.where(F.col("_part") == n).drop("_part").repartition(FILES).write.mode("append").parquet(path)
+        for future in futures:
+            row = self.spark.range(1).select(
+                *[F.expr(future.get(f.name, "NULL")).cast(f.dataType).alias(f.name) for f in frame.schema.fields]
+            )
+            row.write.mode("append").parquet(path)
+        return self.spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", FILES).parquet(path)
+
     def _followed(self, static: DataFrame, path: str, name: str, futures) -> DataFrame:
         rows = self.spark.readStream.schema(static.schema).parquet(path)
         if futures:
@@ -279,37 +300,117 @@ def _future_change(table: str, kind: str, data: str, old: str = "NULL") -> dict[
     }
 
 
-LINE_ORDER = ("sku_id", "sku_num", "source_type", "source_id", "split_total_amount")
+def _year_part(seconds: Column) -> Column:
+    """The order dates of the tables span less than seven years: two years to a part."""
+    return F.least(F.floor((F.year(F.timestamp_seconds(seconds)) - 1995) / 2), F.lit(PARTS - 1))
 
 
-@stream_query_without("id = 'future'")
-def stream_order_pre_process(t):
-    """Lines, orders, activities and coupons as streams, joined within ten seconds of each other."""
+def _pre_stream(t):
+    """Lines, activities and coupons with all their copies, moved near their order, and every change of the orders."""
     s = t.static()
-    lines = _latest_change(v.order_detail_changes(s), "id", *LINE_ORDER)
-    activities = _latest_change(v.activity_changes(s), "order_detail_id", "activity_id", "activity_rule_id")
-    coupons = _latest_change(v.coupon_changes(s), "order_detail_id", "coupon_id")
     feed = (
-        _placed_near_order(s, lines, F.col("data")["order_id"], _line_of("id"))
-        .unionByName(_placed_near_order(s, activities, _order_of("order_detail_id"), _line_of("order_detail_id") + 2))
-        .unionByName(_placed_near_order(s, coupons, _order_of("order_detail_id"), _line_of("order_detail_id") + 2))
+        _placed_near_order(s, v.order_detail_changes(s), F.col("data")["order_id"], _line_of("id"))
+        .unionByName(_placed_near_order(s, v.activity_changes(s), _order_of("order_detail_id"), _line_of("order_detail_id")))
+        .unionByName(_placed_near_order(s, v.coupon_changes(s), _order_of("order_detail_id"), _line_of("order_detail_id")))
         .unionByName(v.order_info_changes(s))
     )
-    stream = t.staged(
-        feed, "order-feed",
+    stream = t.in_batches(
+        feed, "order-feed", _year_part(F.col("ts")),
         _future_change("order_detail", "insert", "map('id', 'future', 'order_id', 'future', 'source_type', '2401')"),
         _future_change("order_info", "insert", "map('id', 'future')"),
         _future_change("order_detail_activity", "insert", "map('order_detail_id', 'future')"),
         _future_change("order_detail_coupon", "insert", "map('order_detail_id', 'future')"),
     )
-    rows = dwd_db.order_pre_process(stream, v.dictionary(t.spark), v.DATABASE, hold=dwd_db.ORDER_HOLD)
-    return rows.select(*PRE_FIELDS)
+    return dwd_db.order_pre_process(stream, v.dictionary(t.spark), v.DATABASE, hold=dwd_db.ORDER_HOLD)
+
+
+@stream_query_without("id = 'future'")
+def stream_order_pre_process(t):
+    """Lines, orders, activities and coupons as streams; an order's later changes meet its lines too."""
+    return _pre_stream(t).withColumn("old_status", F.col("old")["order_status"]).drop("old", "row_op_ts", "_od_at")
+
+
+@stream_query_without("id = 'future'")
+def stream_order_cancel(t):
+    return dwd_db.order_cancel(_pre_stream(t)).drop("row_op_ts")
+
+
+# --- lookups that change, joins that correct themselves, late rows -----------------------------
+
+
+@stream_query_without("line = 'future'")
+def stream_fresh_lookup(t):
+    """Order lines with the article name of their time; articles appear and are renamed while the stream runs.
+
+    Every seventh article comes later than many of its lines, and the last of every hundred never.
+    """
+    s = t.static()
+    lines = s.lineitem.select(
+        F.lit("line").alias("kind"), v.text(F.col("l_partkey")).alias("id"), F.unix_seconds("l_shipdate").alias("ts"),
+        v.line_id().alias("line"), F.lit(None).cast("map<string,string>").alias("data"),
+    )
+    key = F.col("p_partkey")
+    base = s.part.where(F.pmod(key, F.lit(100)) != 99)
+    came = F.when(F.pmod(key, F.lit(7)) == 0, F.lit(852076800) + F.pmod(key, F.lit(30)) * 86400).otherwise(F.lit(631152000))
+    renamed = F.lit(883612800) + F.pmod(key, F.lit(365)) * 86400
+
+    def version(rows, ts, name):
+        data = F.create_map(F.lit("sku_name"), name)
+        return rows.select(F.lit("sku").alias("kind"), v.text(key).alias("id"), ts.cast("long").alias("ts"), F.lit(None).cast("string").alias("line"), data.alias("data"))
+
+    feed = lines.unionByName(version(base, came, F.col("p_name")))
+    feed = feed.unionByName(version(base.where("p_size > 25"), renamed, F.concat("p_name", F.lit(" v2"))))
+    part = F.greatest(_year_part(F.col("ts")), F.lit(0))
+    stream = t.in_batches(feed, "line-and-article-feed", part, {"kind": "'line'", "id": "'-1'", "ts": FAR_SECONDS, "line": "'future'"})
+    timed = stream.withColumn("_at", F.timestamp_seconds("ts")).withWatermark("_at", jobs.DELAY)
+    facts = timed.where("kind = 'line'").select("line", F.col("id").alias("sku_id"), "ts")
+    found = fresh_lookup(
+        facts, timed.where("kind = 'sku'").select("id", "data", "ts"), "sku_id", {"sku_name": "sku_name"},
+        as_of=F.col("ts") * 1000, patience_ms=20 * 366 * 86_400_000,
+    )
+    return found.withColumnRenamed("lookup_missing", "missing")
+
+
+def stream_line_changelog(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines with activity and coupon as change rows that correct themselves, folded from their messages."""
+    t = StreamTables(spark, folder)
+    s = t.static()
+    later = F.col("ts") + 3 * 86400
+    feed = v.order_detail_changes(s).unionByName(v.activity_changes(s).withColumn("ts", later)).unionByName(v.coupon_changes(s).withColumn("ts", later))
+    part = F.pmod(F.floor(F.col("ts") / 86400), F.lit(PARTS))  # time in no order: older versions come after newer ones
+    stream = t.in_batches(feed, "line-changes", part).withColumn("at", F.timestamp_seconds("ts")).withWatermark("at", jobs.DELAY)
+
+    def side(table, *names):
+        rows = table_rows(stream, table, "insert", database=v.DATABASE)
+        return rows.select(*data_columns(*names), "at")
+
+    line = ("id", "order_id", "sku_id", "sku_name", "sku_num", "create_time", "source_type", "source_id", "split_total_amount")
+    changes = changelog_left_join(
+        side("order_detail", *line),
+        {"act": side("order_detail_activity", "order_detail_id", "activity_id", "activity_rule_id"), "cou": side("order_detail_coupon", "order_detail_id", "coupon_id")},
+        {"left": "id", "act": "order_detail_id", "cou": "order_detail_id"}, "at", 20 * 366 * 86_400_000,
+        {"left": line[2:], "act": ("activity_id", "activity_rule_id"), "cou": ("coupon_id",)},
+    )
+    shown = ("id", "order_id", "sku_id", "sku_num", "create_time", "split_total_amount")
+    messages = upsert_messages(changes, *[F.col(f"left.{c}") for c in shown], F.col("act.activity_id"), F.col("act.activity_rule_id"), F.col("cou.coupon_id"))
+    written = folded(run_available(messages, "stream_line_changelog"))
+    row = F.from_json("value", ", ".join(f"{c} string" for c in (*shown, "activity_id", "activity_rule_id", "coupon_id")))
+    return written.select(row.alias("row")).select("row.*")
+
 
+STREAMS["stream_line_changelog"] = stream_line_changelog
 
-PRE_FIELDS = (
-    "id", "order_id", "user_id", "order_status", "sku_id", "province_id", "activity_id", "activity_rule_id", "coupon_id",
-    "source_type_name", "sku_num", "split_original_amount", "split_activity_amount", "split_coupon_amount", "type",
-)
+
+@stream_query_without("log_id < 0")
+def stream_late_rows(t):
+    """Every fiftieth event comes with the last quarter: those behind the watermark then are late."""
+    day = F.dayofmonth("ts")
+    late = F.pmod("event_id", F.lit(50)) == 0
+    part = F.when(late, PARTS - 1).otherwise(F.least(F.floor((day - 1) / 8), F.lit(PARTS - 1)))
+    rows = t.static().events.select(
+        F.col("event_id").alias("log_id"), F.when(F.pmod("event_id", F.lit(700)) != 0, F.unix_millis("ts")).alias("ts"), v.text(F.col("user_id")).alias("mid"), part.alias("part")
+    )
+    return jobs.late_rows(t.in_batches(rows, "late-events", F.col("part")).drop("part"))
 
 
 @stream_query

@@ -16,7 +16,15 @@ HEAVY_KEYS = 1000
 
 
 def join_dictionary(rows: DataFrame, dictionary: DataFrame, code: str, name: str) -> DataFrame:
-    """Add the text of a code. The lookup is inner: a row with an unknown code is dropped."""
+    """Add the text of a code. The lookup is inner: a row with an unknown code is dropped.
+
+    A ``dictionary`` that is a stream of versions (``id, data, ts``) is looked up as it grows: a row
+    with an unknown code waits for it, and one without a code is dropped.
+    """
+    if dictionary.isStreaming:
+        from strataflow.streaming.fresh import MISSING, fresh_lookup
+
+        return fresh_lookup(rows, dictionary, code, {"dic_name": name}).where(~F.col(MISSING)).drop(MISSING)
     texts = dictionary.select(F.col("dic_code").alias(code), F.col("dic_name").alias(name))
     return rows.join(texts, code)
 
@@ -27,9 +35,15 @@ def join_dimension(
     """Add dimension columns by id. ``columns`` maps dimension column -> output column.
 
     ``missing="null"`` keeps rows without a dimension row; ``missing="fail"`` stops the job on one.
+    A ``dimension`` that is a stream of versions (``id, data, ts``) is looked up as it grows: rows wait for
+    theirs; those without an id pass with NULLs.
     """
     if missing not in ("null", "fail"):
         raise ValueError(f"missing must be 'null' or 'fail', not {missing!r}")
+    if dimension.isStreaming:
+        from strataflow.streaming.fresh import MISSING, fresh_lookup
+
+        return fresh_lookup(rows, dimension, key, columns).drop(MISSING)
     side = dimension.select(
         F.col("id").alias("_dim_id"), *[F.col(source).alias(output) for source, output in columns.items()]
     )

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from strataflow.functions import day_of_text, decimal_of, from_seconds
 from strataflow.operators.changes import added_quantity, changed_to, data_columns, table_rows
-from strataflow.operators.latest import keep_latest
+from strataflow.operators.latest import keep_latest, latest_in_window
 from strataflow.operators.lookup import join_dictionary
 from strataflow.operators.timed_join import bounded_join
 from strataflow.schemas import columns_of
@@ -31,6 +31,9 @@ COUPON_USED = "1403"
 # How long two sides of a join may lie apart (fixed values).
 ORDER_HOLD = "10 seconds"
 PAYMENT_HOLD = "30 minutes"
+# How long after a line changes of its order still count, and within which versions of a line settle.
+ORDER_CHANGES = "7 days"
+SETTLE = "1 second"
 
 
 def _seconds_text(name: str = "ts") -> Column:
@@ -55,18 +58,22 @@ def _once(timed: DataFrame, at: str, delay: str) -> DataFrame:
     return timed.withWatermark(at, delay).dropDuplicatesWithinWatermark(version)
 
 
-def _joinable(rows: DataFrame, keys: list[str], seconds: str, at: str, hold: str | None, delay: str) -> DataFrame:
+def _joinable(
+    rows: DataFrame, keys: list[str], seconds: str, at: str, hold: str | None, delay: str, settle: str | None = None
+) -> DataFrame:
     """Ready rows for a join: an event time ``at``, and one version per key.
 
     In batch that is the latest version. A stream drops exact copies and leaves versions to the
-    summary layer. Where the other side of the join may be skewed, ``keys`` holds more than the join
+    summary layer, or with ``settle`` gives the latest version within each window of that size. Where the other side of the join may be skewed, ``keys`` holds more than the join
     key: the join then shuffles this side anew, and adaptive execution can split a hot key only
     between two fresh shuffles.
     """
     timed = rows.withColumn(at, from_seconds(F.col(seconds).try_cast("long")))
-    if hold is not None:
+    if hold is not None and not settle:
         return _once(timed, at, delay)
     rest = [name for name in rows.columns if name not in keys and name not in (seconds, "old")]
+    if settle:
+        return latest_in_window(timed.withWatermark(at, delay), keys, at, [seconds, *rest], settle)
     return keep_latest(timed, keys, [seconds, *rest])
 
 
@@ -110,9 +117,17 @@ def order_pre_process(
     database: str | None = None,
     hold: str | None = None,
     delay: str = "10 seconds",
+    changes_within: str = ORDER_CHANGES,
+    settle: str = SETTLE,
 ) -> DataFrame:
-    """Order lines with their order, activity and coupon: one row per line and order change."""
-    details = _joinable(order_details(changes, database), ["id"], "od_ts", "_od_at", hold, delay)
+    """Order lines with their order, activity and coupon: one row per line and order change.
+
+    On streams the two sides of the order join are held for times of their own: lines for
+    ``changes_within``, as their order may change that much later; order changes for ``hold``. Versions of a line,
+    its activity and its coupon settle in windows of ``settle``.
+    """
+    settle = settle if hold is not None else None
+    details = _joinable(order_details(changes, database), ["id"], "od_ts", "_od_at", hold, delay, settle)
     # Only exact copies of a change count once: two changes of an order within one second are two.
     orders = order_changes(changes, database).withColumn("_old_text", F.to_json("old"))
     version = [name for name in orders.columns if name != "old"]
@@ -123,13 +138,13 @@ def order_pre_process(
     coupons = table_rows(changes, "order_detail_coupon", "insert", database=database).select(
         *data_columns("coupon_id", _cou_key="order_detail_id"), F.col("ts").alias("_cou_ts")
     )
-    activities = _joinable(activities, ["_act_key"], "_act_ts", "_act_at", hold, delay).drop("_act_ts")
-    coupons = _joinable(coupons, ["_cou_key"], "_cou_ts", "_cou_at", hold, delay).drop("_cou_ts")
+    activities = _joinable(activities, ["_act_key"], "_act_ts", "_act_at", hold, delay, settle).drop("_act_ts")
+    coupons = _joinable(coupons, ["_cou_key"], "_cou_ts", "_cou_at", hold, delay, settle).drop("_cou_ts")
 
     # The two joins on the line id come first: with the versions step they share one partitioning.
     joined = _join(details, activities, [("id", "_act_key")], ("_od_at", "_act_at"), hold, "left", hold)
     joined = _join(joined, coupons, [("id", "_cou_key")], ("_od_at", "_cou_at"), hold, "left", hold)
-    joined = _join(joined, orders, [("order_id", "_order_key")], ("_od_at", "_oi_at"), hold, "inner", hold)
+    joined = _join(joined, orders, [("order_id", "_order_key")], ("_od_at", "_oi_at"), hold, "inner", changes_within)
     joined = join_dictionary(joined, dictionary, "source_type", "source_type_name")
     return joined.select(
         "id", "order_id", "user_id", "order_status", "sku_id", "sku_name", "province_id", "activity_id",

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,7 +17,7 @@ from strataflow.operators.tumbling import DEFAULT_SIZE
 from strataflow.operators.visits import first_claims, first_day
 from strataflow.plans import dwd_log, dws
 from strataflow.plans.dwd_log import is_entry
-from strataflow.streaming.processors import Bounce, DailyFirst, FirstDay, LateRows
+from strataflow.streaming.processors import DailyFirst, FirstDay, LateRows
 
 # Allowed disorder of the jobs (fixed values).
 DELAY = "3 seconds"
@@ -31,9 +31,13 @@ def with_event_time(rows: DataFrame, delay: str, millis: str = "ts") -> DataFram
     return rows.withColumn("_at", from_millis(F.col(millis))).withWatermark("_at", delay)
 
 
-def daily_firsts(rows: DataFrame, keys: Sequence[str], millis: str = "ts", size: str = DEFAULT_SIZE) -> DataFrame:
+def daily_firsts(
+    rows: DataFrame, keys: Sequence[str], millis: str = "ts", size: str = DEFAULT_SIZE, ends: bool = False
+) -> DataFrame:
     """First row per key and day of watermarked rows: keys, ``day``, ``previous_day``, ``_at``.
 
+    With ``ends`` state lasts a day only, for jobs that read no ``previous_day``.
+
     Rows are first reduced to one per key and window by a plain aggregate, which combines on the map
     side; only those reach the keyed state, in time order. ``_at`` is the last instant of the window.
     """
@@ -46,13 +50,13 @@ def daily_firsts(rows: DataFrame, keys: Sequence[str], millis: str = "ts", size:
     windows = reduced.select(*keys, "day", "millis", F.window_time("_span").alias("_at"))
     output = T.StructType([*windows.schema.fields, T.StructField("previous_day", T.StringType())])
     return windows.groupBy(*keys).transformWithStateInPandas(
-        DailyFirst(windows.columns), output, "Append", "EventTime", eventTimeColumnName="_at"
+        DailyFirst(windows.columns, ends), output, "Append", "EventTime", eventTimeColumnName="_at"
     )
 
 
 def home_detail(pages: DataFrame, size: str = DEFAULT_SIZE, delay: str = DELAY) -> DataFrame:
     rows = with_event_time(dws.home_detail_rows(pages), delay)
-    return dws.home_detail_totals(daily_firsts(rows, ["mid", "page_id"], size=size), size)
+    return dws.home_detail_totals(daily_firsts(rows, ["mid", "page_id"], size=size, ends=True), size)
 
 
 def user_login(
@@ -64,7 +68,7 @@ def user_login(
 
 def cart_add_uu(added: DataFrame, size: str = DEFAULT_SIZE, delay: str = CART_DELAY) -> DataFrame:
     rows = with_event_time(dws.user_seconds(added), delay)
-    return dws.cart_add_totals(daily_firsts(rows, ["user_id"], size=size), size)
+    return dws.cart_add_totals(daily_firsts(rows, ["user_id"], size=size, ends=True), size)
 
 
 def payment_suc(paid: DataFrame, size: str = DEFAULT_SIZE, delay: str = DELAY) -> DataFrame:
@@ -105,24 +109,29 @@ def bounces(
     slice_ms: int | None = None,
     delay: str = DELAY,
 ) -> DataFrame:
-    """Bounced entry pages. The state of a device is cut into time slices as in the batch form, so
-    it stays small, ends by itself, and a backlog of one device is worked on by many tasks."""
+    """Bounced entry pages, decided in arrays of sorted structs without leaving the JVM.
+
+    A device is cut into slices of time as in the batch form: windows that reach over the start of the next one, as
+    look-ahead. So state is small and ends with its window, and a backlog of one device is worked on by many tasks.
+    """
     slice_ms = slice_ms or 20 * within_ms
     rows = with_event_time(dwd_log.with_keys(pages).where(F.col("_mid").isNotNull()), delay)
-    into_slice = F.pmod("ts", F.lit(slice_ms))
-    own = F.call_function("div", F.col("ts") - into_slice, F.lit(slice_ms))
-    near_start = into_slice < within_ms
-    slices = rows.select(
-        "_mid", "_at", F.col("ts").alias("millis"), (F.col(tie).cast("long") if tie else F.lit(0)).alias("tie"),
-        is_entry().alias("entry"), own.alias("_own"),
+    seen = F.struct(
+        F.col("ts").alias("millis"), (F.col(tie).cast("long") if tie else F.lit(0).cast("long")).alias("tie"), is_entry().alias("entry"),
         F.when(is_entry(), F.to_json(F.struct(*pages.columns))).alias("payload"),
-        F.explode(F.when(near_start, F.array(own, own - 1)).otherwise(F.array(own))).alias("_slice"),
-    ).withColumn("mine", F.col("_own") == F.col("_slice"))
-    output = T.StructType([T.StructField("payload", T.StringType())])
-    slices = slices.drop("_own")
-    found = slices.groupBy("_mid", "_slice").transformWithStateInPandas(
-        Bounce(slices.columns, within_ms, slice_ms, entry_follows), output, "Append", "EventTime"
     )
+    span = F.window("_at", f"{slice_ms + within_ms} milliseconds", f"{slice_ms} milliseconds")
+    slices = rows.groupBy(span.alias("_span"), "_mid").agg(F.array_sort(F.collect_list(seen)).alias("_seen"))
+    own_end = F.unix_millis(F.col("_span.start")) + slice_ms
+
+    def left(row: Column, at: Column) -> Column:
+        after = F.get("_seen", at + 1)
+        alone = after.isNull() | (after["millis"] - row["millis"] >= within_ms)
+        if entry_follows:
+            alone = alone | F.coalesce(after["entry"], F.lit(False))
+        return row["entry"] & (row["millis"] < own_end) & alone
+
+    found = slices.select(F.explode(F.filter("_seen", left)).alias("_hit")).select("_hit.payload")
     return _payload_rows(found, pages)
 
 
@@ -169,13 +178,16 @@ def lines_latest(lines: DataFrame, tie: Sequence[str] = (), size: str = DEFAULT_
     return latest_in_window(lines.withWatermark("_at", delay), ["id"], "_at", ["row_op_ts", *tie], size)
 
 
-def late_rows(rows: DataFrame, keys: Sequence[str], delay: str = DELAY, millis: str = "ts") -> DataFrame:
-    """Rows that arrive behind the watermark, for a look at what a window of the same delay drops.
+def late_rows(rows: DataFrame, delay: str = DELAY, millis: str = "ts") -> DataFrame:
+    """Rows that arrive behind the query's own watermark: those that a window of the same delay may drop.
 
-    Spark drops late rows ahead of a stateful operator that takes part in the watermark, so this one
-    gets the time as a plain number and keeps its own greatest time per key.
+    A window takes a row still while it has not closed, so this shows no fewer rows than it drops. Rows without a
+    time are passed over. The time goes as a plain number, since Spark drops late rows ahead of a
+    stateful operator that sees the watermarked column. Rows are dealt out by content, and nothing is kept.
     """
-    plain = rows.select(*keys, F.col(millis).alias("millis"), *[c for c in rows.columns if c not in (*keys, millis)])
-    output = T.StructType(plain.schema.fields)
-    bound = int(rows.sparkSession.sql(f"SELECT CAST(INTERVAL {delay} AS BIGINT)").first()[0]) * 1000
-    return plain.groupBy(*keys).transformWithStateInPandas(LateRows(plain.columns, bound), output, "Append", "None")
+    timed = with_event_time(rows.where(F.col(millis).isNotNull()), delay, millis)
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.lit(SALTS)).alias("_salt")
+    plain = timed.select(salt, F.col(millis).alias("millis"), *[c for c in rows.columns if c != millis])
+    output = T.StructType(plain.schema.fields[1:])
+    found = plain.groupBy("_salt").transformWithStateInPandas(LateRows(plain.columns), output, "Append", "EventTime")
+    return found.withColumnRenamed("millis", millis).select(*rows.columns)

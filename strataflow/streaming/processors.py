@@ -22,18 +22,22 @@ def _in_order(frames: Iterator[pd.DataFrame], columns: list[str], by: list[str])
     return pd.concat(list(_named(frames, columns)), ignore_index=True).sort_values(by, kind="stable")
 
 
+DAY_MS = 24 * 60 * 60 * 1000
+
+
 class DailyFirst(StatefulProcessor):
     """Pass on the first row of a key and day, with the last earlier day the key was seen.
 
     Input: one row per key and closed window, columns ``day`` and ``millis`` among others. State: the
-    last day seen.
+    last day seen. With ``ends`` a key is forgotten when its day is over, and ``previous_day`` stays NULL.
     """
 
-    def __init__(self, columns: list[str]):
-        self._columns = columns
+    def __init__(self, columns: list[str], ends: bool = False):
+        self._columns, self._ends = columns, ends
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._last = handle.getValueState("last_day", "day string")
+        self._handle = handle
+        self._last = handle.getValueState("last_day", "day string, over_at long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         frame = _in_order(rows, self._columns, ["millis"])
@@ -42,12 +46,21 @@ class DailyFirst(StatefulProcessor):
         firsts = frame[frame["day"].ne(frame["day"].shift(1)) & (True if last is None else frame["day"] > last)].copy()
         if firsts.empty:
             return
-        firsts["previous_day"] = firsts["day"].shift(1)
+        firsts["previous_day"] = None if self._ends else firsts["day"].shift(1)
         firsts["previous_day"] = firsts["previous_day"].astype(object)
-        firsts.iloc[0, firsts.columns.get_loc("previous_day")] = last
-        self._last.update((firsts["day"].iloc[-1],))
+        if not self._ends:
+            firsts.iloc[0, firsts.columns.get_loc("previous_day")] = last
+        over_at = (int(firsts["millis"].iloc[-1]) // DAY_MS + 1) * DAY_MS
+        self._last.update((firsts["day"].iloc[-1], over_at))
+        if self._ends:
+            self._handle.registerTimer(over_at)
         yield firsts
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self._last.exists() and self._last.get()[1] <= timerValues.getCurrentWatermarkInMs():
+            self._last.clear()
+        return iter(())
+
     def close(self) -> None:
         pass
 
@@ -75,69 +88,21 @@ class FirstDay(StatefulProcessor):
         pass
 
 
-class Bounce(StatefulProcessor):
-    """Bounces of one device and time slice, decided when the slice and its look-ahead have passed.
-
-    Input rows: ``millis``, ``tie``, ``entry``, ``mine`` (false for look-ahead) and ``payload``, the
-    page as JSON for entries. State: the rows of the slice.
-    """
+class LateRows(StatefulProcessor):
+    """Rows behind the query's watermark; nothing is kept. Input: the key, the time as ``millis``, and what else a row has."""
 
-    def __init__(self, columns: list[str], within_ms: int, slice_ms: int, entry_follows: bool):
+    def __init__(self, columns: list[str]):
         self._columns = columns
-        self._within, self._slice, self._entry_follows = within_ms, slice_ms, entry_follows
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._handle = handle
-        self._rows = handle.getListState("rows", "millis long, tie long, entry boolean, mine boolean, payload string")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        fresh = not self._rows.exists()
-        for frame in _named(rows, self._columns):
-            picked = frame[["millis", "tie", "entry", "mine", "payload"]]
-            self._rows.appendList([tuple(row) for row in picked.astype(object).itertuples(index=False)])
-        if fresh:
-            # The slice number is the last part of the key.
-            self._handle.registerTimer((int(key[-1]) + 1) * self._slice + self._within)
-        return iter(())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        frame = pd.DataFrame(list(self._rows.get()), columns=["millis", "tie", "entry", "mine", "payload"])
-        frame = frame.sort_values(["millis", "tie"], kind="stable")
-        wait = frame["millis"].shift(-1) - frame["millis"]
-        left = wait.isna() | (wait >= self._within)
-        if self._entry_follows:
-            left |= frame["entry"].astype("boolean").shift(-1).fillna(False).astype(bool)
-        found = frame[frame["entry"].astype(bool) & frame["mine"].astype(bool) & left]
-        self._rows.clear()
-        if not found.empty:
-            yield found[["payload"]].reset_index(drop=True)
-
-    def close(self) -> None:
         pass
 
-
-class LateRows(StatefulProcessor):
-    """Rows further behind the greatest time of their key than the allowed disorder.
-
-    State: the greatest time seen in earlier micro-batches.
-    """
-
-    def __init__(self, columns: list[str], bound_ms: int):
-        self._columns, self._bound = columns, bound_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._greatest = handle.getValueState("greatest", "millis long")
-
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        known = int(self._greatest.get()[0]) if self._greatest.exists() else None
-        greatest = known
+        watermark = timerValues.getCurrentWatermarkInMs()
         for frame in _named(rows, self._columns):
-            greatest = max(int(frame["millis"].max()), greatest if greatest is not None else -(2**62))
-            if known is not None:
-                late = frame[frame["millis"] < known - self._bound]
-                if not late.empty:
-                    yield late
-        self._greatest.update((greatest,))
+            late = frame[frame["millis"] < watermark]
+            if not late.empty:
+                yield late[self._columns[1:]]
 
     def close(self) -> None:
         pass

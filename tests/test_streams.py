@@ -135,7 +135,7 @@ def test_late_rows_leave_the_window_and_can_be_seen(spark, tmp_path):
             feed.batch().where("ts <> 2000").withColumn("_at", F.timestamp_millis("ts")), "_at", ["k"], [F.count("*").alias("n")]
         )
     )
-    late = run_available(jobs.late_rows(feed.stream(), ["k"], "3 seconds"), "late")
+    late = run_available(jobs.late_rows(feed.stream(), "3 seconds"), "late")
     assert bag(late) == Counter([("a", "2000")])
 
 
