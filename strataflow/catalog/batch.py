@@ -15,6 +15,7 @@ from strataflow.operators.lookup import count_missing, join_dimension
 from strataflow.operators.routing import split_messages
 from strataflow.operators.timed_join import bounded_join
 from strataflow.plans import ads, dim, dwd_db, dwd_log, dws, ods
+from strataflow.session import scratch_path
 
 HOUR, WEEK = "1 hour", "7 days"
 # The events of one user lie hours apart, so the bounce bound and the absence are wider here.
@@ -94,10 +95,19 @@ def log_split_counts(t):
 
 @query
 def log_split_messages(t):
-    """The messages of the two array branches, as text."""
-    messages = split_messages(v.log_records(t.events).drop("log_id")).where(F.col("branch").isin("display", "action"))
-    fields = [F.get_json_object("value", f"$.{name}").alias(name) for name in ("mid", "page_id", "item", "ts")]
-    return messages.select("branch", *fields)
+    """The messages of all five branches, with fields that no schema names."""
+    text = v.log_text_with_more(t).withColumn("_whole", F.col("value"))
+    messages = split_messages(dwd_log.repaired(ods.parse_log(text, carry=("_whole",))), whole="_whole")
+
+    def field(name, *paths):
+        return F.coalesce(*[F.get_json_object("value", f"$.{p}") for p in paths or (name,)]).alias(name)
+
+    return messages.select(
+        "branch", field("mid", "mid", "common.mid"), field("is_new", "is_new", "common.is_new"), field("os", "os", "common.os"),
+        field("page_id", "page_id", "page.page_id"), field("refer", "refer", "page.refer"), field("item", "item", "page.item"), field("rank"),
+        field("extra", "extra.n"), field("sdk", "sdk[1]"), field("error_code", "err.error_code"), field("loading_time", "start.loading_time"), field("ts"),
+        (F.get_json_object("value", "$.displays").isNotNull() | F.get_json_object("value", "$.actions").isNotNull()).alias("has_arrays"),
+    )
 
 
 def _branch(t, name):
@@ -400,13 +410,35 @@ def ads_daily_rollup(t):
     return ads.rollup(_traffic(t), ["ch"], ["uv_ct", "sv_ct", "pv_ct", "dur_sum", "uj_ct"], by_day=True)
 
 
+def _stored(frame, name):
+    """A summary as the report layer finds it: written out, its sources out of sight."""
+    path = scratch_path(frame.sparkSession, name)
+    frame.write.parquet(path, compression="zstd")
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def _order_members(t):
+    """Who ordered what, per week and trademark: the summary that distinct orders are counted from."""
+    lines = keep_latest(dws.sku_lines(v.order_lines(t), *v.LINE_TIE), ["id"], ["row_op_ts", *v.LINE_TIE])
+    branded = join_dimension(lines, v.dimensions(t)["sku_info"], "sku_id", {"tm_id": "trademark_id"})
+    return _stored(ads.members(branded, ["trademark_id"], "order_id", WEEK), "order-members")
+
+
+SPAN = {"since": "1996-01-01 00:00:00", "until": "1999-01-01 00:00:00"}
+
+
 @query
 def ads_range_rollup(t):
-    span = {"since": "1996-01-01 00:00:00", "until": "1999-01-01 00:00:00"}
     summary = dws.sku_order(v.order_lines(t), v.dimensions(t), WEEK, v.LINE_TIE)
-    totals = ads.rollup(summary, ["trademark_id"], ["order_amount"], **span)
-    lines = keep_latest(dws.sku_lines(v.order_lines(t), *v.LINE_TIE), ["id"], ["row_op_ts", *v.LINE_TIE])
-    branded = join_dimension(lines, v.dimensions(t)["sku_info"], "sku_id", {"tm_id": "trademark_id"})
-    orders = ads.distinct_members(branded, ["trademark_id"], "order_id", "order_count", WEEK, **span)
+    totals = ads.rollup(_stored(summary, "sku-orders"), ["trademark_id"], ["order_amount"], **SPAN)
+    orders = ads.distinct_from(_order_members(t), ["trademark_id"], "order_count", **SPAN)
     totals = totals.join(orders.withColumnRenamed("trademark_id", "_of"), F.col("trademark_id").eqNullSafe(F.col("_of"))).drop("_of")
     return totals.withColumn("order_amount", F.round("order_amount", 2))
+
+
+@query
+def ads_distinct_orders(t):
+    """Distinct orders of the whole range over all trademarks, and per day of the week's start: coarser keys than the summary's."""
+    summary = _order_members(t)
+    whole = ads.distinct_from(summary, [], "order_count", **SPAN).select(F.lit("all").alias("day"), "order_count")
+    return whole.unionByName(ads.distinct_from(summary, [], "order_count", **SPAN, by_day=True))

@@ -249,11 +249,19 @@ ORACLE: dict[str, str] = {
       UNION ALL SELECT 'display', 2 * count(*) FROM log WHERE kind = 'view'
       UNION ALL SELECT 'action', count(*) FROM log WHERE kind IN ('click', 'purchase')
       UNION ALL SELECT 'page', count(*) FROM page""",
-    "log_split_messages": f"""WITH {LOG}
-      SELECT 'display' AS branch, mid, page_id, {_txt('k + n')} AS item, {_txt('ms')} AS ts
-      FROM log JOIN (VALUES (0), (1)) AS d(n) ON kind = 'view'
-      UNION ALL SELECT 'action', mid, page_id, {_txt('k')}, {_txt('ms - 1')}
-      FROM log WHERE kind IN ('click', 'purchase')""",
+    "log_split_messages": f"""WITH {LOG}, m AS (
+        SELECT *, 'os ' || (k % 3) AS os, CASE WHEN NOT is_start THEN page_id END AS pid, CASE WHEN NOT is_start THEN {_txt('k + 7')} END AS refer,
+          CASE WHEN kind = 'click' THEN {_txt('k')} END AS own_item, {_txt('k')} AS kt, {_txt('ms')} AS mt FROM fixed),
+      rows AS (
+        SELECT 'err' AS branch, mid, is_new, os, pid AS page_id, refer, own_item AS item, NULL AS rank, NULL AS extra, kt AS sdk, kt AS error_code,
+          CASE WHEN is_start THEN kt END AS loading_time, mt AS ts FROM m WHERE kind = 'error'
+        UNION ALL SELECT 'start', mid, is_new, os, NULL, NULL, NULL, NULL, NULL, kt, NULL, kt, mt FROM m WHERE is_start
+        UNION ALL SELECT 'page', mid, is_new, os, pid, refer, own_item, NULL, NULL, kt, NULL, NULL, mt FROM m WHERE NOT is_start
+        UNION ALL SELECT 'display', mid, is_new, os, pid, refer, {_txt('k + n')}, {_txt('k + n')}, NULL, NULL, NULL, NULL, mt
+          FROM m JOIN (VALUES (0), (1)) AS d(n) ON kind = 'view'
+        UNION ALL SELECT 'action', mid, is_new, os, pid, refer, kt, NULL, kt, NULL, NULL, NULL, {_txt('ms - 1')}
+          FROM m WHERE kind IN ('click', 'purchase'))
+      SELECT branch, mid, is_new, os, page_id, refer, item, rank, extra, sdk, error_code, loading_time, ts, false AS has_arrays FROM rows""",
     "log_display_explode": f"""WITH {LOG} SELECT log_id, mid, is_new, page_id, 'promotion' AS display_type,
       {_txt('k + n')} AS item, {_txt('n')} AS "order", ms AS ts
       FROM fixed JOIN (VALUES (0), (1)) AS d(n) ON kind = 'view'""",
@@ -416,6 +424,10 @@ ORACLE: dict[str, str] = {
       SELECT trademark_id, any_value(counted.order_count) AS order_count, round(sum(order_amount), 2) AS order_amount
       FROM sku_window JOIN counted ON trademark_id IS NOT DISTINCT FROM tm_id
       WHERE stt >= '1996-01-01 00:00:00' AND edt <= '1999-01-01 00:00:00' GROUP BY trademark_id""",
+    "ads_distinct_orders": f"""WITH {ORDER_LINES}, spans AS (
+        SELECT * FROM (SELECT {_bounds('moment', '7 days')}, order_id FROM lines) WHERE stt >= '1996-01-01 00:00:00' AND edt <= '1999-01-01 00:00:00')
+      SELECT 'all' AS day, count(DISTINCT order_id) AS order_count FROM spans
+      UNION ALL SELECT substr(stt, 1, 10), count(DISTINCT order_id) FROM spans GROUP BY ALL""",
     "stream_fresh_lookup": f"""WITH line AS (SELECT concat_ws('-', l_orderkey, l_linenumber) AS line, l_partkey, CAST(epoch(l_shipdate) AS BIGINT) AS ts FROM lineitem)
       SELECT line, {_txt('l_partkey')} AS sku_id, ts,
         CASE WHEN p_size > 25 AND ts >= 883612800 + p_partkey % 365 * 86400 THEN p_name || ' v2' ELSE p_name END AS sku_name,

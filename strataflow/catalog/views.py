@@ -128,6 +128,23 @@ def log_text(tables: Tables) -> DataFrame:
     return good.unionByName(junk)
 
 
+def log_text_with_more(tables: Tables) -> DataFrame:
+    """Raw log text with fields at every level that no schema names."""
+    number = key_number()
+    rows = log_records(tables.events.withColumn("_k", number)).withColumnRenamed("log_id", "_id")
+    numbers = tables.events.select(F.col("event_id").alias("_event"), number.alias("_k"))
+    rows = rows.join(numbers, F.col("_id") == F.col("_event"))
+    k = F.col("_k")
+    more = rows.select(
+        F.col("common").withField("os", F.concat(F.lit("os "), text(F.pmod(k, F.lit(3))))).alias("common"),
+        F.when(F.col("page").isNotNull(), F.col("page").withField("refer", k + 7)).alias("page"),
+        F.transform("displays", lambda e: e.withField("rank", F.col("_k") + e["order"].cast("int"))).alias("displays"),
+        F.transform("actions", lambda e: e.withField("extra", F.struct(F.col("_k").alias("n")))).alias("actions"),
+        "start", "err", "ts", F.array(F.pmod(k, F.lit(2)), k).alias("sdk"),
+    )
+    return more.select(F.to_json(F.struct("*")).alias("value"))
+
+
 def page_log(events: DataFrame) -> DataFrame:
     """The page branch of the log."""
     return log_records(events).where(F.col("page").isNotNull()).select("common", "page", "ts", "log_id")

@@ -52,20 +52,64 @@ def _elements(records: DataFrame, array: str, carry: tuple[str, ...], own_time:
     return exploded.select(*_laid_over(exploded, F.col("_e"), _element_fields(records, array), own_time), *carry)
 
 
-def split_messages(records: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+def _over(under: Column, over: Column) -> Column:
+    """Two maps as one; where both have a key, ``over`` wins."""
+    return F.map_concat(F.map_filter(under, lambda k, x: ~F.array_contains(F.map_keys(over), k)), over)
+
+
+def _without(fields: Column, *names: str) -> Column:
+    return F.map_filter(fields, lambda k, x: ~k.isin(*names))
+
+
+def _whole_values(records: DataFrame, whole: str) -> tuple[DataFrame, dict[str, Column], tuple[Column, Column]]:
+    """Values of the branches out of the records' own text: fields that no schema names stay in them."""
+    members = "map<string,variant>"
+    none = F.create_map().cast(members)
+
+    def part(path: str, kind: str = members) -> Column:
+        return F.try_variant_get("_v", path, kind)
+
+    given = records.withColumn("_v", F.try_parse_json(whole))
+    common, flag = F.coalesce(part("$.common"), none), F.col("common.is_new")
+    # The flag may have been repaired after parsing; nothing else of a record is changed.
+    repaired = F.when(flag.isNull(), common).otherwise(_over(common, F.create_map(F.lit("is_new"), flag.cast("variant"))))
+    given = given.withColumn("_common", repaired)
+    laid = F.create_map(F.lit("common"), F.parse_json(F.to_json("_common")))
+    given = given.withColumn("_all", F.when(F.col("common").isNull(), part("$")).otherwise(_over(part("$"), laid)))
+
+    def filled(fields: Column) -> Column:
+        return F.map_filter(fields, lambda k, x: ~F.is_variant_null(x))
+
+    around = _over(filled(F.col("_common")), filled(F.coalesce(part("$.page"), none)))
+    given = given.withColumn("_around", _without(around, "ts"))
+    moment = F.map_filter("_all", lambda k, x: k == "ts")
+    single = {"err": F.col("_all"), "start": _without(F.col("_all"), "err"), "page": _without(F.col("_all"), "err", "displays", "actions")}
+    displays = F.transform(part("$.displays", f"array<{members}>"), lambda e: _over(_over(e, F.col("_around")), moment))
+    actions = F.transform(part("$.actions", f"array<{members}>"), lambda e: _over(e, F.col("_around")))
+    return given, single, (displays, actions)
+
+
+def split_messages(records: DataFrame, carry: tuple[str, ...] = (), whole: str | None = None) -> DataFrame:
     """All branches of :func:`split_log` as ``branch`` and JSON ``value``, in one pass.
 
     Every record is read and parsed once and gives its messages directly, where five separate
-    branches would each read the input again.
+    branches would each read the input again. ``whole`` names a column with the record's own text:
+    messages then hold all its fields, named by a schema or not, with the repaired flag laid over. Error messages are
+    the whole record; start messages lack the error, page messages also both arrays; array elements keep their own
+    fields, under those of common and page that are not null. Numbers come out in their shortest form.
     """
     in_start = F.col("start").isNotNull()
-    whole = records.columns
+    columns = records.columns
+    given, single, elements = records, None, None
+    if whole is not None:
+        given, single, elements = _whole_values(records, whole)
 
     def message(branch: str, when: Column, value: Column) -> Column:
+        value = single[branch] if single else value
         return F.when(when, F.struct(F.lit(branch).alias("branch"), F.to_json(value).alias("value")))
 
-    single = F.array(
-        message("err", F.col("err").isNotNull(), F.struct(*whole)),
+    ones = F.array(
+        message("err", F.col("err").isNotNull(), F.struct(*columns)),
         message("start", in_start, F.struct("common", "start", "ts", *carry)),
         message("page", ~in_start & F.col("page").isNotNull(), F.struct("common", "page", "ts", *carry)),
     )
@@ -74,20 +118,19 @@ def split_messages(records: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame
         inner = _element_fields(records, array)
 
         def one(element: Column) -> Column:
-            return F.struct(
-                F.lit(branch).alias("branch"),
-                F.to_json(F.struct(*_laid_over(records, element, inner, own_time), *carry)).alias("value"),
-            )
+            value = F.struct(*_laid_over(records, element, inner, own_time), *carry) if elements is None else element
+            return F.struct(F.lit(branch).alias("branch"), F.to_json(value).alias("value"))
 
-        return F.when(~in_start & F.col(array).isNotNull(), F.transform(array, one))
+        rows = F.col(array) if elements is None else elements[own_time]
+        return F.when(~in_start & F.col(array).isNotNull(), F.transform(rows, one))
 
     none = F.array().cast("array<struct<branch:string,value:string>>")
     messages = F.concat(
-        F.filter(single, lambda m: m.isNotNull()),
+        F.filter(ones, lambda m: m.isNotNull()),
         F.coalesce(each("display", "displays", False), none),
         F.coalesce(each("action", "actions", True), none),
     )
-    return records.select(F.explode(messages).alias("_m")).select("_m.*")
+    return given.select(F.explode(messages).alias("_m")).select("_m.*")
 
 
 def route_changes(upserts: DataFrame, config: DataFrame) -> DataFrame:

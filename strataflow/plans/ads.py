@@ -7,6 +7,23 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strataflow.functions import second_text
+
+#: Counts of distinct members of a window, which never add up, and of a day, which add up within it only.
+DISTINCT_IN_WINDOW = ("order_count", "refund_count")
+DISTINCT_IN_DAY = (
+    "uv_ct", "uu_ct", "home_uv_ct", "good_detail_uv_ct", "cart_add_uu_ct", "order_unique_user_count", "payment_suc_unique_user_count",
+)
+
+
+def _in_range(summary: DataFrame, since: str | None, until: str | None) -> DataFrame:
+    rows = summary
+    if since is not None:
+        rows = rows.where(F.col("stt") >= since)
+    if until is not None:
+        rows = rows.where(F.col("edt") <= until)
+    return rows
+
 
 def rollup(
     summary: DataFrame,
@@ -18,22 +35,35 @@ def rollup(
 ) -> DataFrame:
     """Add up summary rows with ``stt >= since`` and ``edt <= until``, per key and optionally day.
 
-    Sums add up. A distinct count adds up only where a member is in one row of the summary per
-    group, as with a daily-first count within its day; with coarser keys use ``distinct_members``.
+    Sums add up. Distinct counts do not: one of a window is refused, and one of a day is, unless the
+    result is by day. ``members`` and ``distinct_from`` give those.
     """
-    rows = summary
-    if since is not None:
-        rows = rows.where(F.col("stt") >= since)
-    if until is not None:
-        rows = rows.where(F.col("edt") <= until)
+    refused = [name for name in sums if name in DISTINCT_IN_WINDOW or (name in DISTINCT_IN_DAY and not by_day)]
+    if refused:
+        raise ValueError(f"distinct counts do not add up: {', '.join(refused)}")
     groups = [*([F.substring("stt", 1, 10).alias("day")] if by_day else []), *keys]
-    return rows.groupBy(*groups).agg(*[F.sum(name).alias(name) for name in sums])
+    return _in_range(summary, since, until).groupBy(*groups).agg(*[F.sum(name).alias(name) for name in sums])
+
 
+def members(rows: DataFrame, keys: Sequence[str], member: str, size: str, at: str = "_at") -> DataFrame:
+    """Summary rows that keep who was counted: ``stt, edt``, keys, ``bucket`` and a bitmap of ``members``.
 
-def distinct_members(
-    rows: DataFrame, keys: Sequence[str], member: str, name: str, size: str, since: str, until: str, at: str = "_at"
+    A bucket holds the members of 32,768 neighbouring numbers as bits, so a row has a fixed size, and
+    a group with many members has many rows. Bitmaps of any rows can be joined later, and a member
+    counts once. Members are whole numbers, also as text; other text is an error. NULL members do not count. Works on streams as well.
+    """
+    number = F.col(member).cast("long")
+    held = rows.where(F.col(member).isNotNull())
+    grouped = held.groupBy(F.window(at, size).alias("_span"), *keys, F.bitmap_bucket_number(number).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("members")
+    )
+    return grouped.select(second_text(F.col("_span.start")).alias("stt"), second_text(F.col("_span.end")).alias("edt"), *keys, "bucket", "members")
+
+
+def distinct_from(
+    summary: DataFrame, keys: Sequence[str], name: str, since: str | None = None, until: str | None = None, by_day: bool = False
 ) -> DataFrame:
-    """Distinct members per key over the windows of a time range; counted per member first, so no set grows in one row."""
-    span = F.window(at, size)
-    inside = rows.where((span.start >= F.lit(since).cast("timestamp")) & (span.end <= F.lit(until).cast("timestamp")))
-    return inside.groupBy(*keys, member).agg(F.lit(1).alias("_one")).groupBy(*keys).agg(F.count(member).alias(name))
+    """Distinct members per key over a time range, from rows of ``members`` alone, with their keys or coarser ones."""
+    groups = [*([F.substring("stt", 1, 10).alias("day")] if by_day else []), *keys]
+    joined = _in_range(summary, since, until).groupBy(*groups, "bucket").agg(F.bitmap_or_agg("members").alias("_members"))
+    return joined.groupBy(*[g if isinstance(g, str) else "day" for g in groups]).agg(F.sum(F.bitmap_count("_members")).alias(name))

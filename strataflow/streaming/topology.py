@@ -11,6 +11,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strataflow.operators.routing import split_messages
 from strataflow.plans import dwd_db, dws, ods
@@ -76,8 +77,9 @@ def _job(layer: str, target: str | None = None):
 
 @_job("dwd")
 def _log_split(i):
-    records = jobs.repaired(ods.parse_log(i.read("ods_log")), i.size)
-    return branch_messages(split_messages(records), LOG_TOPICS)
+    text = i.read("ods_log")
+    records = jobs.repaired(ods.parse_log(text.withColumn("_whole", F.col("value")), carry=("_whole",)), i.size)
+    return branch_messages(split_messages(records, whole="_whole"), LOG_TOPICS)
 
 
 @_job("dwd", "dwd_traffic_uv")
