@@ -102,10 +102,19 @@ def stream_query_without(future: str):
     return register
 
 
+def _by_time(seconds: Column, since: str, until: str) -> Column:
+    """The part of a time span cut into PARTS equal ones; times beyond its ends are in the first or last part."""
+    start, end = (F.unix_timestamp(F.lit(day), "yyyy-MM-dd") for day in (since, until))
+    return F.least(F.greatest(F.floor((seconds - start) * PARTS / (end - start)), F.lit(0)), F.lit(PARTS - 1))
+
+
+#: The spans of the given events and orders; only how evenly rows are dealt out depends on them.
+EVENTS_SPAN, ORDERS_SPAN = ("2024-01-01", "2024-02-01"), ("1995-01-01", "2002-01-01")
+
+
 def _events(t: StreamTables, kind: str = "signup") -> DataFrame:
-    return t.stream(
-        "events", ts=f"timestamp_ntz'{FAR}'", event_id="-1", user_id="-1", event_type=f"'{kind}'", props="'{\"k\": 1}'"
-    )
+    future = {"ts": f"timestamp'{FAR}'", "event_id": "-1", "user_id": "-1", "event_type": f"'{kind}'", "props": "'{\"k\": 1}'"}
+    return t.in_batches(t.static().events, "events", _by_time(F.unix_seconds("ts"), *EVENTS_SPAN), future)
 
 
 def _pages(t):
@@ -174,25 +183,26 @@ def stream_traffic_window(t):
         "common": "named_struct('mid', '', 'uid', '', 'is_new', '', 'vc', '', 'ch', '', 'ar', '')",
         "page": "named_struct('page_id', '', 'last_page_id', '', 'during_time', '0', 'item', '', 'item_type', '')",
     }
-    visitors = t.staged(dwd_log.unique_visitors(pages, TIE), "visitors", future)
-    bounced = t.staged(dwd_log.bounced_pages(pages, BOUNCE_MS, TIE), "bounced", future)
+    part = _by_time(F.col("ts") / 1000, *EVENTS_SPAN)  # the three feeds stay side by side
+    visitors = t.in_batches(dwd_log.unique_visitors(pages, TIE), "visitors", part, future)
+    bounced = t.in_batches(dwd_log.bounced_pages(pages, BOUNCE_MS, TIE), "bounced", part, future)
     counters = dws.traffic_counters(_pages(t), visitors, bounced).withWatermark("_at", jobs.TRAFFIC_DELAY)
     return dws.traffic_totals(counters, HOUR)
 
 
 @stream_query_without(BEYOND)
 def stream_register_window(t):
-    registered = t.staged(v.registrations(t.static()), "registrations", {"ts": FAR_SECONDS, "user_id": "'-1'"})
+    registered = _user_rows(t, v.registrations(t.static()), "registrations", EVENTS_SPAN)
     return dws.user_register(registered, HOUR)
 
 
-def _user_rows(t, rows, name):
-    return t.staged(rows, name, {"ts": FAR_SECONDS, "user_id": "'-1'"})
+def _user_rows(t, rows, name, span=ORDERS_SPAN, **future):
+    return t.in_batches(rows, name, _by_time(F.col("ts").cast("long"), *span), {"ts": FAR_SECONDS, "user_id": "'-1'", **future})
 
 
 @stream_query_without(BEYOND)
 def stream_cart_add_uu(t):
-    return jobs.cart_add_uu(_user_rows(t, v.cart_additions(t.static()), "cart"), HOUR)
+    return jobs.cart_add_uu(_user_rows(t, v.cart_additions(t.static()), "cart", EVENTS_SPAN), HOUR)
 
 
 @stream_query_without(BEYOND)
@@ -207,7 +217,7 @@ def stream_order_uu(t):
 
 def _lines(t):
     future = {"id": "'-1'", "ts": FAR_SECONDS, "order_id": "'-1'", "sku_id": "'-1'", "province_id": "'-1'"}
-    return t.staged(v.order_lines(t.static()), "order-lines", future)
+    return t.in_batches(v.order_lines(t.static()), "order-lines", _by_time(F.col("ts"), *ORDERS_SPAN), future)
 
 
 @stream_query_without(BEYOND)
@@ -226,7 +236,7 @@ def stream_sku_order_window(t):
 @stream_query_without(BEYOND)
 def stream_brand_category_user_refund(t):
     dims = v.dimensions(t.static())
-    refunds = t.staged(v.refund_lines(t.static()), "refunds", {"ts": FAR_SECONDS, "user_id": "'-1'", "order_id": "'-1'"})
+    refunds = _user_rows(t, v.refund_lines(t.static()), "refunds", order_id="'-1'")
     lines = dws.refund_lines(refunds, dims["sku_info"]).withWatermark("_at", jobs.DELAY)
     return dws.refund_result(dws.refund_totals(lines, WEEK), dims)
 
@@ -300,11 +310,6 @@ def _future_change(table: str, kind: str, data: str, old: str = "NULL") -> dict[
     }
 
 
-def _year_part(seconds: Column) -> Column:
-    """The order dates of the tables span less than seven years: two years to a part."""
-    return F.least(F.floor((F.year(F.timestamp_seconds(seconds)) - 1995) / 2), F.lit(PARTS - 1))
-
-
 def _pre_stream(t):
     """Lines, activities and coupons with all their copies, moved near their order, and every change of the orders."""
     s = t.static()
@@ -315,7 +320,7 @@ def _pre_stream(t):
         .unionByName(v.order_info_changes(s))
     )
     stream = t.in_batches(
-        feed, "order-feed", _year_part(F.col("ts")),
+        feed, "order-feed", _by_time(F.col("ts"), *ORDERS_SPAN),
         _future_change("order_detail", "insert", "map('id', 'future', 'order_id', 'future', 'source_type', '2401')"),
         _future_change("order_info", "insert", "map('id', 'future')"),
         _future_change("order_detail_activity", "insert", "map('order_detail_id', 'future')"),
@@ -360,8 +365,7 @@ def stream_fresh_lookup(t):
 
     feed = lines.unionByName(version(base, came, F.col("p_name")))
     feed = feed.unionByName(version(base.where("p_size > 25"), renamed, F.concat("p_name", F.lit(" v2"))))
-    part = F.greatest(_year_part(F.col("ts")), F.lit(0))
-    stream = t.in_batches(feed, "line-and-article-feed", part, {"kind": "'line'", "id": "'-1'", "ts": FAR_SECONDS, "line": "'future'"})
+    stream = t.in_batches(feed, "line-and-article-feed", _by_time(F.col("ts"), *ORDERS_SPAN), {"kind": "'line'", "id": "'-1'", "ts": FAR_SECONDS, "line": "'future'"})
     timed = stream.withColumn("_at", F.timestamp_seconds("ts")).withWatermark("_at", jobs.DELAY)
     facts = timed.where("kind = 'line'").select("line", F.col("id").alias("sku_id"), "ts")
     found = fresh_lookup(

@@ -109,6 +109,29 @@ def test_bounces(page_feed, entry_follows):
     same(found, plain(page_feed.batch(), 3000, ("log_id",)), "log_id < 0")
 
 
+def test_bounces_stay_in_the_jvm(page_feed):
+    plan = jobs.bounces(page_feed.stream(), 3000, "log_id")._jdf.queryExecution().analyzed().toString()
+    assert "Pandas" not in plan and "Python" not in plan and "collect_list" in plan
+
+
+def test_daily_state_ends_with_the_day(spark, tmp_path):
+    """Keys of a past day leave the state; a job that needs the day before keeps them."""
+    day = 86_400_000
+    feed = Feed(spark, tmp_path / "pages", PAGE)
+    for n in range(4):
+        feed.add([page(f"m{n}-{k}", "home", None, 1_704_067_200_000 + n * day + k * 1000, n * 100 + k) for k in range(30)])
+    left = {}
+    for name, job in (("ends", jobs.home_detail), ("stays", jobs.user_login)):
+        query = start(job(feed.stream()), str(tmp_path / name / "checkpoint"), table=str(tmp_path / name / "table"), trigger={"availableNow": True})
+        query.awaitTermination()
+        rows = [[o["numRowsTotal"] for o in p["stateOperators"] if "transformWithState" in o["operatorName"]] for p in query.recentProgress]
+        left[name] = [sum(r) for r in rows if r]
+        # All rows but those of the last, still open window have been counted.
+        assert spark.read.parquet(str(tmp_path / name / "table")).count() > 0
+    # Each day brings thirty new keys.
+    assert 0 < max(left["ends"]) <= 60 < max(left["stays"]) == left["stays"][-1]
+
+
 def test_visitor_flag(page_feed):
     found = run_available(jobs.repaired(page_feed.stream()), "t")
     same(found, dwd_log.repaired(page_feed.batch()), "log_id < 0")
