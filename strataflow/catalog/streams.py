@@ -370,7 +370,7 @@ def stream_fresh_lookup(t):
     facts = timed.where("kind = 'line'").select("line", F.col("id").alias("sku_id"), "ts")
     found = fresh_lookup(
         facts, timed.where("kind = 'sku'").select("id", "data", "ts"), "sku_id", {"sku_name": "sku_name"},
-        as_of=F.col("ts") * 1000, patience_ms=20 * 366 * 86_400_000,
+        as_of=F.col("ts") * 1000, patience_ms=20 * 366 * 86_400_000, salts=2,
     )
     return found.withColumnRenamed("lookup_missing", "missing")
 

@@ -22,9 +22,9 @@ def join_dictionary(rows: DataFrame, dictionary: DataFrame, code: str, name: str
     with an unknown code waits for it, and one without a code is dropped.
     """
     if dictionary.isStreaming:
-        from strataflow.streaming.fresh import MISSING, fresh_lookup
+        from strataflow.streaming.fresh import MISSING, SALTS, fresh_lookup
 
-        return fresh_lookup(rows, dictionary, code, {"dic_name": name}).where(~F.col(MISSING)).drop(MISSING)
+        return fresh_lookup(rows, dictionary, code, {"dic_name": name}, salts=SALTS).where(~F.col(MISSING)).drop(MISSING)
     texts = dictionary.select(F.col("dic_code").alias(code), F.col("dic_name").alias(name))
     return rows.join(texts, code)
 

@@ -16,8 +16,9 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from strataflow.operators.changes import UPSERT_TYPES, table_rows
 from strataflow.streaming.processors import _named
 
-#: Rows that look up one key are dealt out over so many state partitions, so a hot key is no hot task.
-SALTS = 16
+#: Rows that look up one key are dealt out over so many state keys, so a hot key is no hot task. Each version is kept
+#: as often: few codes of a dictionary may be dealt out wider than the many ids of a dimension.
+SALTS, DIMENSION_SALTS = 16, 4
 MISSING = "lookup_missing"
 _EXACT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 _COLUMNS = ["_key", "_salt", "fact", "moment", "payload"]
@@ -141,7 +142,7 @@ def fresh_lookup(
     as_of: Column | None = None,
     patience_ms: int | None = None,
     known: DataFrame | None = None,
-    salts: int = SALTS,
+    salts: int = DIMENSION_SALTS,
 ) -> DataFrame:
     """``facts`` with dimension columns by id, and ``lookup_missing``; ``columns`` maps source -> output.
 
