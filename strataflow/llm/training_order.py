@@ -93,7 +93,7 @@ def training_order(
     shard and ``slot % per_shard`` the place in it. A shard is one row of ``shards`` whose
     ``payload`` holds its sequences at a fixed stride, and whose ``parts`` say which document part
     is in which place. Range partitions write the shards in order, so a reader can begin at any
-    slot (``read_from``). An empty table gives no shards.
+    slot (``read_from``). An empty table gives no shards. Other columns are not read, also where they are named as results are.
     """
     spark = docs.sparkSession
     folder = scratch_path(spark, "training-order")
@@ -151,13 +151,26 @@ def training_order(
     ordered = placed.repartitionByRange("shard").sortWithinPartitions("slot")
     shape = f"shard bigint, first_slot bigint, n_sequences int, parts {parts_type}, payload binary"
     ordered.mapInArrow(pack, shape).write.parquet(f"{folder}/shards", compression="zstd")
+    width_of_id = 2 if len(ByteTokens(read_ranks(ranks_path)).width) < 1 << 16 else 4
+    about = spark.createDataFrame([(length, width_of_id, per_shard, total, seed)], "length int, width int, per_shard int, total long, seed long")
+    about.coalesce(1).write.parquet(f"{folder}/about")
     return folder
 
 
-def read_from(spark: SparkSession, folder: str, slot: int = 0, per_shard: int = SEQUENCES, length: int = LENGTH, width: int = 2) -> DataFrame:
-    """``slot, doc_id, part, n_tokens, payload`` from a slot on: whole shards are skipped by their number."""
-    shards = spark.read.parquet(f"{folder}/shards").where(F.col("shard") >= slot // per_shard)
-    stride = length * width
+def read_from(
+    spark: SparkSession, folder: str, slot: int = 0, per_shard: int | None = None, length: int | None = None, width: int | None = None
+) -> DataFrame:
+    """``slot, doc_id, part, n_tokens, payload`` from a slot on: whole shards are skipped by their number.
+
+    Lengths and widths are read from what was written next to the shards (``about``: length, width, per_shard, total, seed);
+    a caller that states others is told so.
+    """
+    about = spark.read.parquet(f"{folder}/about").first()
+    for name, stated in (("per_shard", per_shard), ("length", length), ("width", width)):
+        if stated not in (None, about[name]):
+            raise ValueError(f"the shards were written with {name}={about[name]}, not {stated}")
+    shards = spark.read.parquet(f"{folder}/shards").where(F.col("shard") >= slot // about.per_shard)
+    stride = about.length * about.width
     rows = shards.select("first_slot", "payload", F.posexplode("parts").alias("place", "of"))
     return rows.select(
         (F.col("first_slot") + F.col("place")).alias("slot"), "of.doc_id", "of.part", "of.n_tokens",
