@@ -326,7 +326,7 @@ def _pre_stream(t):
         _future_change("order_detail_activity", "insert", "map('order_detail_id', 'future')"),
         _future_change("order_detail_coupon", "insert", "map('order_detail_id', 'future')"),
     )
-    return dwd_db.order_pre_process(stream, v.dictionary(t.spark), v.DATABASE, hold=dwd_db.ORDER_HOLD)
+    return dwd_db.order_pre_process(stream, v.dictionary(t.spark), v.DATABASE, hold=dwd_db.ORDER_HOLD, settle=dwd_db.SETTLE)
 
 
 @stream_query_without("id = 'future'")

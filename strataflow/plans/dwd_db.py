@@ -118,13 +118,13 @@ def order_pre_process(
     hold: str | None = None,
     delay: str = "10 seconds",
     changes_within: str = ORDER_CHANGES,
-    settle: str = SETTLE,
+    settle: str | None = None,
 ) -> DataFrame:
     """Order lines with their order, activity and coupon: one row per line and order change.
 
     On streams the two sides of the order join are held for times of their own: lines for
     ``changes_within``, as their order may change that much later; order changes for ``hold``. Versions of a line,
-    its activity and its coupon settle in windows of ``settle``.
+    its activity and its coupon settle in windows of ``settle``, if given, and are then given out once these close.
     """
     settle = settle if hold is not None else None
     details = _joinable(order_details(changes, database), ["id"], "od_ts", "_od_at", hold, delay, settle)
