@@ -291,14 +291,22 @@ def pages(spark, *rows):
     return spark.createDataFrame([((m, m, "1"), (p, last), ts) for m, p, last, ts in rows], PAGE)
 
 
-def test_bounce_examples(spark):
-    frame = pages(
-        spark, ("p", "start", None, 4000), ("p", "start", None, 4600), ("q", "start", "", 7000),
-        ("q", "list", "start", 21000), ("r", "start", None, 100), ("r", "list", "start", 900), ("r", "cart", "list", 40000),
-    )
-    key = lambda f: rows_of(f.select("common.mid", "ts"))
-    assert key(dwd_log.bounced_pages(frame)) == [("p", 4000), ("p", 4600), ("q", 7000)]
-    assert key(dwd_log.bounced_pages_timeout_only(frame)) == [("p", 4600), ("q", 7000)]
+@pytest.mark.parametrize("within_ms, plan", [(3000, dwd_log.bounced_pages), (5000, dwd_log.bounced_pages_timeout_only)])
+def test_bounced_pages_equal_the_rule(spark, within_ms, plan):
+    """Random visits: an entry stays alone if nothing follows in time, or, in the first pattern, another entry does."""
+    rng = random.Random(within_ms)
+    visits = []
+    for device in ("d0", "d1", "d2"):
+        at = 0
+        for _ in range(60):
+            at += rng.choice((1, 400, within_ms - 1, within_ms, within_ms + 1, 90_000))
+            visits.append((device, rng.choice(("home", "cart")), rng.choice((None, "", "home")), at))
+    expected = []
+    for (device, _, last, at), after in zip(visits, [*visits[1:], None]):
+        follows = after is not None and after[0] == device and after[3] - at < within_ms
+        if not last and not (follows and (after[2] or plan is dwd_log.bounced_pages_timeout_only)):
+            expected.append((device, at))
+    assert rows_of(plan(pages(spark, *visits)).select("common.mid", "ts")) == sorted(expected, key=str)
 
 
 @pytest.mark.parametrize("entry_follows", [True, False])
