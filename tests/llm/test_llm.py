@@ -335,3 +335,45 @@ def test_similar_lines_become_candidates(spark):
     want = [(ids[a], ids[b]) for a, b in zip(texts[::2], texts[1::2]) if edit_distance(a, b) <= int(0.2 * max(len(a), len(b)) + 1e-9)]
     group = groups(ids.values(), [tuple(r) for r in line_dedup.line_links(lines, line_dedup.WIDE).collect()])
     assert len(want) > 60 and sum(group[a] == group[b] for a, b in want) >= 0.9 * len(want)
+
+
+def test_spaced_items_are_found(spark):
+    rng = random.Random(4)
+    vocabulary = [f"{a}{b}" for a in "bcdfghklmn" for b in range(60)]
+    items = {i: [rng.choice(vocabulary) for _ in range(rng.choice([5, 12, 30, 40, 60]))] for i in range(30)}
+    docs, want = [], set()
+    for n in range(150):
+        words = [rng.choice(vocabulary) for _ in range(rng.randrange(60, 300))]
+        if n < 60:
+            item = items[n % 30]
+            # Verbatim, with one other word between each two, or with two.
+            gap = n % 3
+            spread = [w for t in item for w in [t, *(rng.choice(["other", "filler", "between"]) for _ in range(gap))]]
+            at = rng.randrange(len(words))
+            words[at:at] = spread
+            want.add((n, n % 30))
+        docs.append((n, " ".join(words)))
+    frame = spark.createDataFrame(docs, SHAPE)
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id) for r in latent_search.leaks(frame, bench).collect()}
+    long = {(d, i) for d, i in want if len(items[i]) >= 30}
+    print("found", len(got & want), "of", len(want), "long", len(got & long), "of", len(long), "others", len(got - want))
+    assert len(got & want) >= 0.9 * len(want) and not {d for d, _ in got} & set(range(60, 150))
+
+
+def test_passed_over_windows_hold_no_leak():
+    rng = random.Random(5)
+    items = latent_search.read_items([(i, " ".join(f"w{rng.randrange(40)}" for _ in range(rng.randrange(4, 30))), None) for i in range(12)])
+    weight = latent_search.np.array([rng.random() for _ in items.vocabulary] + [0.0])
+    sizes, least = latent_search.least_weights(items, weight)
+    skipped = 0
+    for _ in range(900):
+        ids = latent_search.np.array([rng.choice([-1, -1, -1, -1, rng.randrange(len(items.vocabulary))]) for _ in range(rng.randrange(1, 200))])
+        count = len(latent_search.windows(ids))
+        kept = set(latent_search.may_leak(ids, weight, sizes, least, 0, count).tolist())
+        for w in set(range(count)) - kept:
+            skipped += 1
+            for terms in items.terms:
+                region = ids[max(0, w * latent_search.STEP - len(terms)) : w * latent_search.STEP + latent_search.WINDOW + len(terms)].tolist()
+                assert latent_search.common_subsequence(terms, region) < latent_search.PARAPHRASE * len(terms)
+    assert skipped > 50
