@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataflow.catalog import views as v
-from strataflow.functions import camel_case, distinct_words, register_word_function, second_text
+from strataflow.functions import camel_case, dictionary_words, distinct_words, register_word_function, second_text, word_list
 from strataflow.operators.changes import added_quantity, changed_to, table_rows, upsert_rows
 from strataflow.operators.latest import keep_latest, latest_in_session
 from strataflow.operators.lookup import count_missing, join_dimension
@@ -16,6 +16,7 @@ from strataflow.operators.routing import split_messages
 from strataflow.operators.timed_join import bounded_join
 from strataflow.plans import ads, dim, dwd_db, dwd_log, dws, ods
 from strataflow.session import scratch_path
+from strataflow.sinks.landing import land, landed
 
 HOUR, WEEK = "1 hour", "7 days"
 # The events of one user lie hours apart, so the bounce bound and the absence are wider here.
@@ -176,6 +177,24 @@ def cart_add(t):
     return dwd_db.cart_add(v.changes(t, "cart_info"), v.dictionary(t.spark), v.DATABASE)
 
 
+def _landed(t):
+    """The whole change feed, as text that is parsed once, landed and read again."""
+    path = scratch_path(t.spark, "landing")
+    land(v.change_text(t), path, "year")
+    return landed(t.spark, path, "year")
+
+
+@query
+def landed_order_pre_process(t):
+    rows = dwd_db.order_pre_process(_landed(t), v.dictionary(t.spark), v.DATABASE)
+    return rows.withColumn("old_status", F.col("old")["order_status"]).drop("old", "row_op_ts")
+
+
+@query
+def landed_cart_add(t):
+    return dwd_db.cart_add(_landed(t), v.dictionary(t.spark), v.DATABASE)
+
+
 def _pre_process(t):
     feed = v.changes(t, "order_detail", "order_info", "order_detail_activity", "order_detail_coupon")
     return dwd_db.order_pre_process(feed, v.dictionary(t.spark), v.DATABASE)
@@ -308,6 +327,14 @@ def keyword_window_count(t):
     return dws.keyword(v.search_log(t.documents), HOUR, _words)
 
 
+@query
+def keyword_dictionary_count(t):
+    """The keyword report over texts without blanks, cut by the words of the benchmark items."""
+    words = word_list(t.benchmark.select(F.explode(distinct_words(F.col("text"))).alias("word")), "word")
+    searches = v.search_log(t.documents.withColumn("text", F.replace("text", F.lit(" "), F.lit(""))))
+    return dws.keyword(searches, HOUR, dictionary_words(words))
+
+
 @query
 def keyword_unicode_totals(t):
     """Searches per word of any script, all windows together."""

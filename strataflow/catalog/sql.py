@@ -372,6 +372,22 @@ ORACLE: dict[str, str] = {
       FROM (SELECT TIMESTAMP '2024-01-01' + to_minutes(doc_id) AS moment,
               unnest(list_distinct(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+'))) AS keyword FROM documents)
       GROUP BY ALL""",
+    # The longest word at each place of a run, then from one to the next: all runs walk together, each with its own list.
+    "keyword_dictionary_count": f"""WITH RECURSIVE dic AS (
+        SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+')) AS word FROM benchmark),
+      searched AS (SELECT doc_id, TIMESTAMP '2024-01-01' + to_minutes(doc_id) AS moment,
+          unnest(regexp_extract_all(lower(replace(text, ' ', '')), '[\\p{{L}}\\p{{N}}]+')) AS run FROM documents),
+      runs AS (SELECT row_number() OVER () AS id, run FROM (SELECT DISTINCT run FROM searched)),
+      places AS (SELECT id, run, unnest(range(1, length(run) + 1)) AS pos FROM runs),
+      sizes AS (SELECT DISTINCT length(word) AS size FROM dic),
+      starts AS (SELECT id, pos, size, substr(run, pos, size) AS word FROM places JOIN sizes ON pos + size - 1 <= length(run)),
+      longest AS (SELECT id, pos, max(size) AS size FROM starts JOIN dic USING (word) GROUP BY id, pos),
+      steps AS (SELECT id, list(coalesce(size, 1) ORDER BY pos) AS steps FROM (SELECT id, pos FROM places) LEFT JOIN longest USING (id, pos) GROUP BY id),
+      walk AS (SELECT id, steps, CAST(1 AS BIGINT) AS pos FROM steps
+        UNION ALL SELECT id, steps, pos + steps[pos] FROM walk WHERE pos + steps[pos] <= len(steps)),
+      words AS (SELECT DISTINCT run, substr(run, pos, steps[pos]) AS keyword FROM walk JOIN runs USING (id))
+      SELECT {_bounds('moment', '1 hour')}, 'search' AS source, keyword, count(DISTINCT doc_id) AS keyword_count
+      FROM searched JOIN words USING (run) GROUP BY ALL""",
     "keyword_unicode_totals": """SELECT keyword, count(*) AS searches
       FROM (SELECT unnest(list_distinct(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+'))) AS keyword FROM documents) GROUP BY ALL""",
     "traffic_window": f"WITH {LOG}, {TRAFFIC} SELECT * FROM traffic",
@@ -446,6 +462,8 @@ _PLACED = _PLACED.replace("ORDER BY l_shipdate DESC, coupon_id", "ORDER BY coupo
 )
 for _key in ("order_pre_process", "order_cancel"):
     ORACLE[f"stream_{_key}"] = ORACLE[_key].replace(LINES, _PLACED)
+for _key in ("order_pre_process", "cart_add"):
+    ORACLE[f"landed_{_key}"] = ORACLE[_key]
 ORACLE["keyword_sql_lateral"] = ORACLE["keyword_window_count"]
 ORACLE["stream_pay_detail"] = f"SELECT * FROM ({ORACLE['pay_detail']}) WHERE CAST(order_id AS BIGINT) % 45 BETWEEN 1 AND 30"
 ORACLE["stream_order_refund"] = f"SELECT * EXCLUDE (ts) FROM ({ORACLE['order_refund']})"

@@ -20,4 +20,4 @@ from strataflow.functions.records import (  # noqa: F401
     snake_case,
     camel_case,
 )
-from strataflow.functions.words import dictionary_words, distinct_words, register_word_function  # noqa: F401
+from strataflow.functions.words import dictionary_words, distinct_words, register_word_function, word_list  # noqa: F401

@@ -33,16 +33,20 @@ LOG_TOPICS = {
 
 @dataclass
 class Inputs:
-    """What the jobs read. ``dictionary`` and ``dimensions`` are called at the start of a job."""
+    """What the jobs read. ``dictionary`` and ``dimensions`` are called at the start of a job.
+
+    ``landing`` gives the parsed change rows (``sinks.landed``); without it each job parses the feed itself.
+    """
 
     read: Callable[[str], DataFrame]
     dictionary: Callable[[], DataFrame]
     dimensions: Callable[[], dict[str, DataFrame]]
     database: str | None = None
     size: str = "5 seconds"
+    landing: Callable[[], DataFrame] | None = None
 
     def changes(self) -> DataFrame:
-        return ods.parse_changes(self.read("ods_db"))
+        return self.landing() if self.landing else ods.parse_changes(self.read("ods_db"))
 
     def pages(self, topic: str = "dwd_traffic_page") -> DataFrame:
         return json_rows(self.read(topic), PAGE_ROW)
