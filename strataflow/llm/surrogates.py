@@ -10,10 +10,15 @@ from strataflow.llm.shared import column, saved
 #: Titles before a name, by gender.
 MALE = ("Mr", "Herr", "Señor", "Sr", "Monsieur", "Don", "Господин")
 FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Señora", "Sra", "Madame", "Mme", "Doña", "Госпожа")
-#: Syllables that surrogate names are made of, and their endings by gender.
-LATIN = ("ba", "de", "fi", "go", "lu", "ma", "ne", "ri", "so", "tu", "va", "we", "li", "ro", "na", "ke")
-CYRILLIC = ("ба", "де", "фи", "го", "лу", "ма", "не", "ри", "со", "ту", "ва", "ве", "ли", "ро", "на", "ке")
-ENDS = {("latin", "m"): "n", ("latin", "f"): "a", ("cyrillic", "m"): "н", ("cyrillic", "f"): "а"}
+#: Syllables that surrogate names are made of, by script, and their endings by gender. A part of a name in
+#: any other script gets Latin ones.
+SYLLABLES = {
+    "Latin": ("ba", "de", "fi", "go", "lu", "ma", "ne", "ri", "so", "tu", "va", "we", "li", "ro", "na", "ke"),
+    "Cyrillic": ("ба", "де", "фи", "го", "лу", "ма", "не", "ри", "со", "ту", "ва", "ве", "ли", "ро", "на", "ке"),
+    "Greek": ("βα", "δε", "φι", "γο", "λυ", "μα", "νε", "ρι", "σο", "τυ", "πα", "κε", "λι", "ρο", "να", "ξε"),
+    "Armenian": ("բա", "դե", "ֆի", "գո", "լի", "մա", "նե", "րի", "սո", "տի", "վա", "կե", "ժի", "ռո", "նա", "զե"),
+}
+ENDS = {"Latin": ("n", "a"), "Cyrillic": ("н", "а"), "Greek": ("ν", "α"), "Armenian": ("ն", "ա")}
 
 _NAME = r"\p{Lu}[\p{L}'’-]*\p{L}"
 PATTERNS = {
@@ -111,7 +116,7 @@ def surrogate(value: Column, attempt: Column, secret: str) -> Column:
 
     E-mail addresses keep their last label, phone numbers their country code, card numbers
     the first digit and a right check digit; addresses have octets of the same width. Names keep
-    their title; each part is drawn from the part itself, so that a family name stays one. Names get a
+    their title; each part is drawn in its own script from the part itself, so that a family name stays one. Names get a
     syllable more with each attempt; from attempt ``OWN_FORMAT`` on, e-mail addresses get a letter more
     with each, and octets have any width, so that a format's values never bound the corpus.
     """
@@ -147,18 +152,27 @@ def _made(value: Column, kind: Column, of: Column, stream: Column, attempt: Colu
     title = F.regexp_extract(value, r"^(\S+ )", 1)
     bare = F.regexp_replace(title, r"[. ]", "")
     gender = F.when(bare.isin(*FEMALE), "f").otherwise("m")
-    cyrillic = value.rlike(r"\p{IsCyrillic}")
-
-    def drawn_name(own: Column, i: Column) -> Column:
-        made = {}
-        for script, syllables in (("latin", LATIN), ("cyrillic", CYRILLIC)):
-            pick = F.array_join(F.transform(F.sequence(F.lit(0), attempt + 3), lambda k: F.get(F.array(*[F.lit(s) for s in syllables]), _nibble(own, k, 16))), "")
-            end = F.when(gender == "f", ENDS[(script, "f")]).otherwise(ENDS[(script, "m")])
-            # The gender shows in a given name: the first of two parts.
-            made[script] = F.initcap(F.concat(pick, F.when((i == 0) & value.rlike(r" \S+ "), end).otherwise("")))
-        return F.when(cyrillic, made["cyrillic"]).otherwise(made["latin"])
-
-    names = F.concat(title, F.array_join(F.transform(F.transform(F.split(F.regexp_replace(value, r"^\S+ ", ""), " "), lambda part: _stream(secret, F.lit("part"), F.lower(part), attempt)), drawn_name), " "))
+    two = value.rlike(r" \S+ ")
+
+    def by_script(part: Column, given: dict[str, Column]) -> Column:
+        choice = F
+        for script in SYLLABLES:
+            if script != "Latin":
+                choice = choice.when(part.rlike(rf"\p{{Is{script}}}"), given[script])
+        return choice.otherwise(given["Latin"])
+
+    def prepared(part: Column) -> Column:
+        syllables = by_script(part, {s: F.array(*[F.lit(x) for x in given]) for s, given in SYLLABLES.items()})
+        end = by_script(part, {s: F.when(gender == "f", F.lit(f)).otherwise(F.lit(m)) for s, (m, f) in ENDS.items()})
+        return F.struct(_stream(secret, F.lit("part"), F.lower(part), attempt).alias("own"), syllables.alias("syllables"), end.alias("end"))
+
+    def drawn_name(part: Column, i: Column) -> Column:
+        drawn = F.transform(F.sequence(F.lit(0), attempt + 3), lambda k: F.get(part["syllables"], _nibble(part["own"], k, 16)))
+        # The gender shows in a given name: the first of two parts.
+        return F.initcap(F.concat(F.array_join(drawn, ""), F.when((i == 0) & two, part["end"]).otherwise("")))
+
+    parts = F.transform(F.split(F.regexp_replace(value, r"^\S+ ", ""), " "), prepared)
+    names = F.concat(title, F.array_join(F.transform(parts, drawn_name), " "))
     return (
         F.when(kind == "email", email).when(kind == "secret", hexes).when(kind == "ip", ip).when(kind == "card", card).when(kind == "name", names).otherwise(phone)
     )
@@ -170,7 +184,9 @@ def _repairs(found: DataFrame, secret: str) -> DataFrame:
     An entity's surrogate may be no other entity's, and no entity of the corpus itself. Of those
     that want one surrogate the least keeps it, and the others draw again, until none is left.
     """
-    values = found.groupBy("kind", "entity").agg(F.min("value").alias("value"))
+    # A number of partitions is kept as it is given; few bytes, but hashes to draw for each row.
+    tasks = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    values = found.repartition(tasks, "kind", "entity").groupBy("kind", "entity").agg(F.min("value").alias("value"))
     settled = None
     pending = values.withColumn("attempt", F.lit(0))
     known = values.select("kind", F.col("entity").alias("taken"))
@@ -199,7 +215,8 @@ def replace_entities(docs: DataFrame, secret: str, key: str = "doc_id", text: st
 
     Surrogates depend on the key and the entity only, so one entity has one surrogate in the whole
     corpus and two entities have two; all that is not an entity stays as it is. ``kinds`` lists the
-    kinds found, in order. NULL texts stay NULL. Repeated rows and NULL ids are treated alike.
+    kinds found, in order. NULL texts stay NULL. Repeated rows and NULL ids are treated alike. An
+    empty table gives an empty result; a text of any length is one value, read by one pattern.
     """
     rows = docs.select(column(docs, key).alias("doc_id"), column(docs, text).alias("text"))
     matched = rows.withColumn("found", F.regexp_extract_all("text", F.lit(ANY), F.lit(0)))
