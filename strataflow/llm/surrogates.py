@@ -12,12 +12,10 @@ MALE = ("Mr", "Herr", "Señor", "Sr", "Monsieur", "Don", "Господин")
 FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Señora", "Sra", "Madame", "Mme", "Doña", "Госпожа")
 #: Syllables that surrogate names are made of, by script, and their endings by gender. A part of a name in
 #: any other script gets Latin ones.
-SYLLABLES = {
-    "Latin": ("ba", "de", "fi", "go", "lu", "ma", "ne", "ri", "so", "tu", "va", "we", "li", "ro", "na", "ke"),
-    "Cyrillic": ("ба", "де", "фи", "го", "лу", "ма", "не", "ри", "со", "ту", "ва", "ве", "ли", "ро", "на", "ке"),
-    "Greek": ("βα", "δε", "φι", "γο", "λυ", "μα", "νε", "ρι", "σο", "τυ", "πα", "κε", "λι", "ρο", "να", "ξε"),
-    "Armenian": ("բա", "դե", "ֆի", "գո", "լի", "մա", "նե", "րի", "սո", "տի", "վա", "կե", "ժի", "ռո", "նա", "զե"),
-}
+LATIN = ("ba", "de", "fi", "go", "lu", "ma", "ne", "ri", "so", "tu", "va", "we", "li", "ro", "na", "ke")
+CYRILLIC = ("ба", "де", "фи", "го", "лу", "ма", "не", "ри", "со", "ту", "ва", "ве", "ли", "ро", "на", "ке")
+GREEK = ("βα", "δε", "φι", "γο", "λυ", "μα", "νε", "ρι", "σο", "τυ", "πα", "κε", "λι", "ρο", "να", "ξε")
+ARMENIAN = ("բա", "դե", "ֆի", "գո", "լի", "մա", "նե", "րի", "սո", "տի", "վա", "կե", "ժի", "ռո", "նա", "զե")
 ENDS = {"Latin": ("n", "a"), "Cyrillic": ("н", "а"), "Greek": ("ν", "α"), "Armenian": ("ն", "ա")}
 
 _NAME = r"\p{Lu}[\p{L}'’-]*\p{L}"
@@ -154,15 +152,14 @@ def _made(value: Column, kind: Column, of: Column, stream: Column, attempt: Colu
     gender = F.when(bare.isin(*FEMALE), "f").otherwise("m")
     two = value.rlike(r" \S+ ")
 
+    scripts = {"Latin": LATIN, "Cyrillic": CYRILLIC, "Greek": GREEK, "Armenian": ARMENIAN}
+
     def by_script(part: Column, given: dict[str, Column]) -> Column:
-        choice = F
-        for script in SYLLABLES:
-            if script != "Latin":
-                choice = choice.when(part.rlike(rf"\p{{Is{script}}}"), given[script])
-        return choice.otherwise(given["Latin"])
+        choice = F.when(part.rlike(r"\p{IsCyrillic}"), given["Cyrillic"]).when(part.rlike(r"\p{IsGreek}"), given["Greek"])
+        return choice.when(part.rlike(r"\p{IsArmenian}"), given["Armenian"]).otherwise(given["Latin"])
 
     def prepared(part: Column) -> Column:
-        syllables = by_script(part, {s: F.array(*[F.lit(x) for x in given]) for s, given in SYLLABLES.items()})
+        syllables = by_script(part, {s: F.array(*[F.lit(x) for x in given]) for s, given in scripts.items()})
         end = by_script(part, {s: F.when(gender == "f", F.lit(f)).otherwise(F.lit(m)) for s, (m, f) in ENDS.items()})
         return F.struct(_stream(secret, F.lit("part"), F.lower(part), attempt).alias("own"), syllables.alias("syllables"), end.alias("end"))
 
