@@ -132,6 +132,22 @@ def test_daily_state_ends_with_the_day(spark, tmp_path):
     assert 0 < max(left["ends"]) <= 60 < max(left["stays"]) == left["stays"][-1]
 
 
+@pytest.mark.parametrize("name", ["home_detail", "user_login", "repaired"])
+def test_state_calls_grow_with_buckets_not_keys(spark, tmp_path, monkeypatch, name):
+    """Many keys share a bucket, its state and its calls, and each is counted by itself."""
+    monkeypatch.setattr("strataflow.streaming.processors.BUCKETS", 3)
+    feed = Feed(spark, tmp_path / "pages", PAGE)
+    for n, at in enumerate((0, 10, 86_400, 2 * 86_400)):
+        feed.add([page(f"m{k}", "home", None, 1_704_067_200_000 + at * 1000 + k, n * 100 + k, "01"[k % 2]) for k in range(0, 60, n + 1)])
+    feed.add(FUTURE)
+    query = start(getattr(jobs, name)(feed.stream()), str(tmp_path / "checkpoint"), table=str(tmp_path / "table"), trigger={"availableNow": True})
+    query.awaitTermination()
+    rows = [o["numRowsUpdated"] for p in query.recentProgress for o in p["stateOperators"] if "transformWithState" in o["operatorName"]]
+    assert 0 < max(rows) <= 9  # a value and two marks of a timer each
+    batch = dwd_log if name == "repaired" else dws
+    same(spark.read.parquet(str(tmp_path / "table")), getattr(batch, name)(feed.batch()), "log_id < 0" if name == "repaired" else "stt >= '2099-01-01'")
+
+
 def test_visitor_flag(page_feed):
     found = run_available(jobs.repaired(page_feed.stream()), "t")
     same(found, dwd_log.repaired(page_feed.batch()), "log_id < 0")
