@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.readwriter import DataFrameWriter
 
-from strataflow.operators.latest import latest_in_window
+from strataflow.operators.latest import latest_in_session, latest_in_window
 from strataflow.operators.timed_join import bounded_join
 from strataflow.operators.tumbling import window_totals, window_totals_per_member
 from strataflow.plans import dim, dwd_db, dwd_log, dws
@@ -148,6 +148,17 @@ def test_state_calls_grow_with_buckets_not_keys(spark, tmp_path, monkeypatch, na
     same(spark.read.parquet(str(tmp_path / "table")), getattr(batch, name)(feed.batch()), "log_id < 0" if name == "repaired" else "stt >= '2099-01-01'")
 
 
+def test_latest_row_is_held_once(spark):
+    """State and shuffle hold each column of the kept row once; columns without an order still work."""
+    rows = spark.sql("SELECT * FROM VALUES ('a', 1L, 'x', 5L), ('a', 2L, 'y', 5L), ('b', 1L, NULL, 5L) AS t(id, version, v, ts)")
+    rows = rows.withColumn("at", F.timestamp_seconds("ts"))
+    for frame in (rows, rows.withColumn("m", F.create_map("id", "version"))):
+        for found in (latest_in_window(frame, ["id"], "at", ["version", "v"], "5 seconds"), latest_in_session(frame, ["id"], "at", ["version", "v"], "5 seconds")):
+            assert ("max_by" in found._jdf.queryExecution().analyzed().toString()) == ("m" in frame.columns)
+            assert found.columns[: len(frame.columns)] and set(frame.columns) <= set(found.columns)
+            assert sorted((r.id, r.version, r.v) for r in found.collect()) == [("a", 2, "y"), ("b", 1, None)]
+
+
 def test_visitor_flag(page_feed):
     found = run_available(jobs.repaired(page_feed.stream()), "t")
     same(found, dwd_log.repaired(page_feed.batch()), "log_id < 0")
