@@ -448,7 +448,8 @@ def _order_members(t):
     """Who ordered what, per week and trademark: the summary that distinct orders are counted from."""
     lines = keep_latest(dws.sku_lines(v.order_lines(t), *v.LINE_TIE), ["id"], ["row_op_ts", *v.LINE_TIE])
     branded = join_dimension(lines, v.dimensions(t)["sku_info"], "sku_id", {"tm_id": "trademark_id"})
-    return _stored(ads.members(branded, ["trademark_id"], "order_id", WEEK), "order-members")
+    # A week and trademark hold a few of every 32,768 neighbouring orders.
+    return _stored(ads.members(branded, ["trademark_id"], "order_id", WEEK, width=ads.MASK), "order-members")
 
 
 SPAN = {"since": "1996-01-01 00:00:00", "until": "1999-01-01 00:00:00"}

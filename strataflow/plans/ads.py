@@ -45,18 +45,28 @@ def rollup(
     return _in_range(summary, since, until).groupBy(*groups).agg(*[F.sum(name).alias(name) for name in sums])
 
 
-def members(rows: DataFrame, keys: Sequence[str], member: str, size: str, at: str = "_at") -> DataFrame:
+#: Members that a row of ``members`` stands for: a bitmap of so many bits, or the bits of one long.
+BITMAP, MASK = 32_768, 64
+
+
+def members(rows: DataFrame, keys: Sequence[str], member: str, size: str, at: str = "_at", width: int = BITMAP) -> DataFrame:
     """Summary rows that keep who was counted: ``stt, edt``, keys, ``bucket`` and a bitmap of ``members``.
 
-    A bucket holds the members of 32,768 neighbouring numbers as bits, so a row has a fixed size, and
-    a group with many members has many rows. Bitmaps of any rows can be joined later, and a member
+    A bucket holds the members of ``width`` neighbouring numbers as bits, so a row has a fixed size, and
+    a group with many members has many rows. Groups that hold few of the members want ``MASK``: a bitmap takes 4 KB
+    however few bits are set, in sorts too, and a long is added up by hash. Bitmaps of any rows can be joined later, and a member
     counts once. Members are whole numbers, also as text; other text is an error. NULL members do not count. Works on streams as well.
     """
+    if width not in (BITMAP, MASK):
+        raise ValueError(f"width must be {BITMAP} or {MASK}, not {width}")
     number = F.col(member).cast("long")
     held = rows.where(F.col(member).isNotNull())
-    grouped = held.groupBy(F.window(at, size).alias("_span"), *keys, F.bitmap_bucket_number(number).alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("members")
-    )
+    if width == MASK:
+        bucket = F.shiftright(number, 6)
+        bits = F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), number.bitwiseAND(F.lit(MASK - 1)).cast("int")))
+    else:
+        bucket, bits = F.bitmap_bucket_number(number), F.bitmap_construct_agg(F.bitmap_bit_position(number))
+    grouped = held.groupBy(F.window(at, size).alias("_span"), *keys, bucket.alias("bucket")).agg(bits.alias("members"))
     return grouped.select(second_text(F.col("_span.start")).alias("stt"), second_text(F.col("_span.end")).alias("edt"), *keys, "bucket", "members")
 
 
@@ -65,5 +75,7 @@ def distinct_from(
 ) -> DataFrame:
     """Distinct members per key over a time range, from rows of ``members`` alone, with their keys or coarser ones."""
     groups = [*([F.substring("stt", 1, 10).alias("day")] if by_day else []), *keys]
-    joined = _in_range(summary, since, until).groupBy(*groups, "bucket").agg(F.bitmap_or_agg("members").alias("_members"))
-    return joined.groupBy(*[g if isinstance(g, str) else "day" for g in groups]).agg(F.sum(F.bitmap_count("_members")).alias(name))
+    masks = summary.schema["members"].dataType.typeName() == "long"
+    both, count = (F.bit_or, F.bit_count) if masks else (F.bitmap_or_agg, F.bitmap_count)
+    joined = _in_range(summary, since, until).groupBy(*groups, "bucket").agg(both("members").alias("_members"))
+    return joined.groupBy(*[g if isinstance(g, str) else "day" for g in groups]).agg(F.sum(count("_members").cast("long")).alias(name))

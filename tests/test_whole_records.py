@@ -70,3 +70,26 @@ def test_distinct_counts_from_summaries(spark):
         ads.rollup(summary, ["k"], ["uv_ct"])
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         ads.members(rows.withColumn("m", F.lit("order 7")), ["k"], "m", "10 seconds").collect()
+
+
+def test_few_members_of_many_numbers_stay_small(spark):
+    """Members far apart: each costs a long, not a bitmap, and is added up by hash and not by sorting."""
+    rng = random.Random(6)
+    data = [(rng.choice(["a", "b", None]), rng.choice([None, rng.randrange(-(10**9), 10**9), *range(-65, -60), *range(60, 68)]), 1_000 * rng.randrange(100)) for _ in range(3000)]
+    rows = spark.createDataFrame([(k, None if m is None else str(m), t) for k, m, t in data], "k string, m string, t long").withColumn("_at", F.timestamp_millis("t"))
+    summary = ads.members(rows, ["k"], "m", "10 seconds", width=ads.MASK)
+    got = {r.k: r.n for r in ads.distinct_from(summary, ["k"], "n", since="1970-01-01 00:00:20", until="1970-01-01 00:01:00").collect()}
+    assert got == {k: len({m for g, m, t in data if g == k and m is not None and 20_000 <= t < 60_000}) for k in ("a", "b", None)}
+    whole = ads.distinct_from(summary, [], "n")
+    assert whole.first().n == len({m for _, m, _ in data if m is not None})
+    assert "SortAggregate" not in whole._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["ads_distinct_orders", "ads_range_rollup"])
+def test_order_members_are_longs(spark, folder, monkeypatch, name):
+    from strataflow.catalog import batch
+
+    kinds = []
+    monkeypatch.setattr(batch.ads, "distinct_from", lambda summary, *a, f=batch.ads.distinct_from, **b: kinds.append(dict(summary.dtypes)["members"]) or f(summary, *a, **b))
+    batch.QUERIES[name](spark, folder)
+    assert kinds and set(kinds) == {"bigint"}
