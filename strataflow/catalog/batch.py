@@ -100,14 +100,21 @@ def log_split_messages(t):
     text = v.log_text_with_more(t).withColumn("_whole", F.col("value"))
     messages = split_messages(dwd_log.repaired(ods.parse_log(text, carry=("_whole",))), whole="_whole")
 
+    # One parse a message, not one for each field.
+    own = "mid, is_new, os, page_id, refer, item, rank, ts, displays, actions".replace(",", " string,") + " string"
+    shape = f"""{own}, common struct<mid:string,is_new:string,os:string>, page struct<page_id:string,refer:string,item:string>,
+        extra struct<n:string>, sdk array<string>, err struct<error_code:string>, start struct<loading_time:string>"""
+    read = messages.select("branch", F.explode_outer(F.array(F.from_json("value", shape))).alias("_m"))
+
     def field(name, *paths):
-        return F.coalesce(*[F.get_json_object("value", f"$.{p}") for p in paths or (name,)]).alias(name)
+        return F.coalesce(*[F.col(f"_m.{p}") for p in paths or (name,)]).alias(name)
 
-    return messages.select(
+    return read.select(
         "branch", field("mid", "mid", "common.mid"), field("is_new", "is_new", "common.is_new"), field("os", "os", "common.os"),
         field("page_id", "page_id", "page.page_id"), field("refer", "refer", "page.refer"), field("item", "item", "page.item"), field("rank"),
-        field("extra", "extra.n"), field("sdk", "sdk[1]"), field("error_code", "err.error_code"), field("loading_time", "start.loading_time"), field("ts"),
-        (F.get_json_object("value", "$.displays").isNotNull() | F.get_json_object("value", "$.actions").isNotNull()).alias("has_arrays"),
+        field("extra", "extra.n"), F.get(F.col("_m.sdk"), F.lit(1)).alias("sdk"), field("error_code", "err.error_code"),
+        field("loading_time", "start.loading_time"), field("ts"),
+        (F.col("_m.displays").isNotNull() | F.col("_m.actions").isNotNull()).alias("has_arrays"),
     )
 
 

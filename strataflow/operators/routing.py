@@ -53,8 +53,8 @@ def _elements(records: DataFrame, array: str, carry: tuple[str, ...], own_time:
 
 
 def _over(under: Column, over: Column) -> Column:
-    """Two maps as one; where both have a key, ``over`` wins."""
-    return F.map_concat(F.map_filter(under, lambda k, x: ~F.array_contains(F.map_keys(over), k)), over)
+    """Two maps as one; where both have a key, ``over`` wins. Each map is evaluated once, not for every key of the other."""
+    return F.map_zip_with(under, over, lambda k, a, b: F.coalesce(b, a))
 
 
 def _without(fields: Column, *names: str) -> Column:
@@ -82,7 +82,8 @@ def _whole_values(records: DataFrame, whole: str) -> tuple[DataFrame, dict[str,
 
     around = _over(filled(F.col("_common")), filled(F.coalesce(part("$.page"), none)))
     given = given.withColumn("_around", _without(around, "ts"))
-    moment = F.map_filter("_all", lambda k, x: k == "ts")
+    given = given.withColumn("_moment", F.map_filter("_all", lambda k, x: k == "ts"))
+    moment = F.col("_moment")
     single = {"err": F.col("_all"), "start": _without(F.col("_all"), "err"), "page": _without(F.col("_all"), "err", "displays", "actions")}
     displays = F.transform(part("$.displays", f"array<{members}>"), lambda e: _over(_over(e, F.col("_around")), moment))
     actions = F.transform(part("$.actions", f"array<{members}>"), lambda e: _over(e, F.col("_around")))
