@@ -93,3 +93,24 @@ def test_order_members_are_longs(spark, folder, monkeypatch, name):
     monkeypatch.setattr(batch.ads, "distinct_from", lambda summary, *a, f=batch.ads.distinct_from, **b: kinds.append(dict(summary.dtypes)["members"]) or f(summary, *a, **b))
     batch.QUERIES[name](spark, folder)
     assert kinds and set(kinds) == {"bigint"}
+
+
+def test_text_is_parsed_and_written_once(spark, folder):
+    """No filter is pushed below a parse, where it would parse again and write the derived text again."""
+    from strataflow.catalog import views
+
+    feed = ods.parse_changes(views.change_text(views.Tables(spark, folder), "order_info"))
+    plan = feed._jdf.queryExecution().optimizedPlan().toString()
+    given = feed.select("table", "type", "ts", "data")._jdf.queryExecution().optimizedPlan().toString()
+    for text in (plan, given):
+        assert text.count("from_json(") == 1 and not [line for line in text.splitlines() if "Filter" in line and ("from_json" in line or "StructsToJson" in line)]
+
+
+def test_split_messages_are_read_once(spark, folder):
+    from strataflow.catalog import batch
+
+    plan = batch.QUERIES["log_split_messages"](spark, folder)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    # The message is parsed once, and the number of an event read once for each reading of the events.
+    assert not [line for line in plan if line.count("get_json_object") > 1] and not any("get_json_object(value" in line for line in plan)
+    # No map is evaluated again for each key of another.
+    assert not any("map_keys" in line for line in plan)
