@@ -370,3 +370,16 @@ def test_dimension_writes_of_one_second(spark, tmp_path):
     plain = [row[:-1] for row in data[:2]]
     snapshot = dim.dim_snapshot(spark.createDataFrame(plain, CHANGE), config, "shop")
     assert [r.region_name for r in dim.dim_table(snapshot, "base_region").collect()] == ["last"]
+
+
+def test_payments_and_lines_come_part_by_part(spark, folder, monkeypatch):
+    """The joined payments do not hold all lines at once, and copies are known by a digest, not by their whole row."""
+    from strataflow.catalog import streams
+
+    dealt = []
+    monkeypatch.setattr(streams.StreamTables, "in_batches", lambda self, frame, name, *a, f=streams.StreamTables.in_batches: dealt.append(name) or f(self, frame, name, *a))
+    made = streams.stream_pay_detail(streams.StreamTables(spark, folder))
+    assert sorted(dealt) == ["detail-topic", "payments"]
+    plan = made._jdf.queryExecution().analyzed().toString()
+    keys = [line.split("DeduplicateWithinWatermark [")[1].split("]")[0] for line in plan.splitlines() if "DeduplicateWithinWatermark [" in line]
+    assert len(keys) == 2 and all(k.startswith("_version") and "," not in k for k in keys)
