@@ -145,6 +145,9 @@ def order_pre_process(
     activities = _joinable(activities, ["_act_key"], "_act_ts", "_act_at", hold, delay, settle).drop("_act_ts")
     coupons = _joinable(coupons, ["_cou_key"], "_cou_ts", "_cou_at", hold, delay, settle).drop("_cou_ts")
 
+    if hold is None and not dictionary.isStreaming:
+        # The last lookup drops lines with an unknown code; they need not go to the orders first.
+        details = details.join(dictionary.select(F.col("dic_code").alias("source_type")), "source_type", "left_semi")
     # The two joins on the line id come first: with the versions step they share one partitioning.
     joined = _join(details, activities, [("id", "_act_key")], ("_od_at", "_act_at"), hold, "left", hold)
     joined = _join(joined, coupons, [("id", "_cou_key")], ("_od_at", "_cou_at"), hold, "left", hold)

@@ -431,3 +431,12 @@ def test_topics_and_csv(spark):
     parts = topic_frames(frame, "a", "b")
     schema = spark.createDataFrame([], "id string, name string").schema
     assert rows_of(csv_stream(parts["a"], schema)) == [("1", "x")]
+
+
+def test_lines_of_unknown_codes_do_not_go_to_the_orders(spark, folder):
+    from strataflow.catalog import batch
+
+    plan = batch.QUERIES["order_pre_process"](spark, folder)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    semi = [n for n, line in enumerate(plan) if "Join LeftSemi" in line]
+    orders = [n for n, line in enumerate(plan) if "Join Inner" in line and "_order_key" in line]
+    assert len(semi) == 1 and len(orders) == 1 and orders[0] < semi[0]
