@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strataflow.llm import shingle_join
-from strataflow.llm.shared import column, components, id_and_text, saved, small_batches
+from strataflow.llm.shared import column, components, few, id_and_text, saved, small_batches
 
 RADIUS = 2
 SHINGLE = 3
@@ -37,9 +37,8 @@ def shingle_hashes(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -
     return np.fromiter((xxhash.xxh64_intdigest(p, seed) for p in pieces), np.uint64)
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
-    """Signed 64-bit SimHash of a whole text; zero without words."""
-    hashes = shingle_hashes(text, shingle, seed)
+def simhash(hashes: np.ndarray) -> int:
+    """Signed 64-bit number of the bits set in over half of the hashes; zero without any."""
     if not len(hashes):
         return 0
     votes = np.zeros(64, np.int64)
@@ -50,16 +49,21 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
     return int(bits.view(">u8").astype(np.uint64).view(np.int64)[0])
 
 
+def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
+    """Signed 64-bit SimHash of a whole text; zero without words."""
+    return simhash(shingle_hashes(text, shingle, seed))
+
+
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """``doc_id, version, fp`` for every row (``version`` hashes id and text); NULL, empty and blank texts get zero."""
     small_batches(docs.sparkSession)
 
     @F.pandas_udf("bigint")
-    def simhash(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def marked(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series([fingerprint(t, shingle) for t in texts], dtype="int64")
 
-    return id_and_text(docs, key, text).select("doc_id", F.xxhash64("doc_id", "text").alias("version"), simhash("text").alias("fp"))
+    return id_and_text(docs, key, text).select("doc_id", F.xxhash64("doc_id", "text").alias("version"), marked("text").alias("fp"))
 
 
 def _shifts(radius: int) -> list[tuple[int, ...]]:
@@ -164,16 +168,22 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", shingl
     """The rows of ``docs`` that stand for their groups: the least id, then the least version; one of repeated rows.
 
     NULL ids stand for a group only if all its ids are NULL. With a similarity, groups are those of exact Jaccard
-    similarity of the shingles (``shingle_join``), which SimHash reaches only by a radius near that of unlike texts.
+    similarity of the shingles: SimHash links come first and are checked, and ``shingle_join`` finds the links that the
+    radius misses, as texts of that similarity can differ in more bits.
     """
     if similarity is None:
         found = simhash_components(docs, key, text, shingle=shingle)
         first = F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "version"))
         stands = found.groupBy("component").agg(first.alias("first")).select(F.col("first.version").alias("__version"))
     else:
-        stands = shingle_join.firsts(docs, shingle_hashes, shingle, similarity, key, text).withColumnRenamed("version", "__version")
+        stands = shingle_join.firsts(docs, shingle_hashes, shingle, similarity, simhash, fingerprint_links, key, text).withColumnRenamed("version", "__version")
     rows = docs.select(F.struct("*").alias("row"), F.xxhash64(column(docs, key), column(docs, text)).alias("__version"))
-    return rows.join(stands, "__version", "left_semi").groupBy("__version").agg(F.first("row").alias("row")).select("row.*")
+    stands, many = saved(stands, "stands"), rows.groupBy("__version").agg(F.count("*").alias("n")).where("n > 1")
+    many = few(saved(many.select("__version"), "repeated"))
+    kept = rows.join(few(stands), "__version", "left_semi")
+    # Only repeated rows, few as a rule, are grouped: whole texts need no shuffle for it.
+    again = kept.join(many, "__version", "left_semi").groupBy("__version").agg(F.first("row").alias("row"))
+    return kept.join(many, "__version", "left_anti").select("row").unionByName(again.select("row")).select("row.*")
 
 
 def hex_digits(fp: str = "fp"):

@@ -10,7 +10,7 @@ from brute import edit_distance, groups
 
 import corpus_pipeline
 from strataflow.llm import (
-    byte_tokens, catalog, chat_format, latent_search, line_dedup, pair_ranking, pieces, quality_rules, shared, simhash_dedup, surrogates,
+    byte_tokens, catalog, chat_format, latent_search, line_dedup, pair_ranking, pieces, quality_rules, shared, shingle_join, simhash_dedup, surrogates,
     token_counts, training_order,
 )
 
@@ -303,6 +303,29 @@ def test_near_duplicates_by_jaccard(spark, odd, none):
     assert corpus_pipeline.near_duplicates(spark, none, None).count() == 0
 
 
+def test_near_duplicates_meet_by_simhash(spark, monkeypatch):
+    rng = random.Random(9)
+    base = [[f"w{rng.randrange(5000)}" for _ in range(900)] for _ in range(5)]
+    texts = []
+    for n in range(40):
+        words = list(base[n % 5])
+        words[rng.randrange(900)] = f"other{n}"
+        texts.append((n, " ".join(words)))
+    found = {n: simhash_dedup.simhash(np.unique(simhash_dedup.shingle_hashes(t, 5))) for n, t in texts}
+    linked, links = [], simhash_dedup.fingerprint_links
+    rows = [(n, 800 + n, found[n]) for n in found]
+    nodes = spark.createDataFrame(rows, "node bigint, size int, fp bigint")
+    got = [tuple(r) for r in shingle_join.simhash_pairs(nodes, links, 0.8).collect()]
+    want = [(a, b) for a in found for b in found if a < b and ((found[a] ^ found[b]) % (1 << 64)).bit_count() <= simhash_dedup.RADIUS]
+    assert want and groups(found, got) == groups(found, want)
+    # Sizes that rule the similarity out make no pair.
+    apart = nodes.withColumn("size", simhash_dedup.F.expr("cast(pow(2, node) as bigint)"))
+    assert not shingle_join.simhash_pairs(apart, links, 0.8).collect()
+    monkeypatch.setattr(simhash_dedup, "fingerprint_links", lambda distinct: linked.append({r.fp for r in distinct.collect()}) or links(distinct))
+    kept = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(texts, SHAPE), None).collect()
+    assert linked[-1] == set(found.values()) and {r.doc_id for r in kept} == set(range(5))
+
+
 def test_surrogates_never_run_out(spark, monkeypatch):
     # One value for each number of syllables: as when all values of four syllables are taken.
     monkeypatch.setattr(surrogates, "LATIN", ("ba",) * 16)
