@@ -39,14 +39,19 @@ def _ordered(frame: DataFrame, table: str) -> DataFrame:
 # --- traffic ---------------------------------------------------------------------------------
 
 
-def searched_words(pages: DataFrame, words=distinct_words) -> DataFrame:
-    """One row per search and distinct word: ``keyword`` and the time of the search."""
+def word_searches(pages: DataFrame, words=distinct_words) -> DataFrame:
+    """One row per search: its time and its distinct ``words``."""
     searches = pages.where(
         (F.col("page.last_page_id") == "search")
         & (F.col("page.item_type") == "keyword")
         & F.col("page.item").isNotNull()
     )
-    return _timed(searches).select("_at", F.explode(words(F.col("page.item"))).alias("keyword"))
+    return _timed(searches).select("_at", words(F.col("page.item")).alias("words"))
+
+
+def searched_words(pages: DataFrame, words=distinct_words) -> DataFrame:
+    """One row per search and distinct word: ``keyword`` and the time of the search."""
+    return word_searches(pages, words).select("_at", F.explode("words").alias("keyword"))
 
 
 def keyword(pages: DataFrame, size: str = DEFAULT_SIZE, words=distinct_words) -> DataFrame:

@@ -5,18 +5,23 @@ Stateless, windowed and joined jobs need no second form: the functions in ``plan
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import zlib
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strataflow.functions import day_of, from_millis
+from strataflow.functions import day_of, distinct_words, from_millis, second_text
 from strataflow.operators.latest import latest_in_window
 from strataflow.operators.tumbling import DEFAULT_SIZE
 from strataflow.operators.visits import first_claims, first_day
 from strataflow.plans import dwd_log, dws
 from strataflow.plans.dwd_log import is_entry
+from strataflow.schemas import columns_of
 from strataflow.streaming.processors import BUCKET, DailyFirst, FirstDay, LateRows, bucket_of
 
 # Allowed disorder of the jobs (fixed values).
@@ -25,6 +30,8 @@ CART_DELAY = ORDER_DELAY = "5 seconds"
 TRAFFIC_DELAY = "15 seconds"
 
 SALTS = 16
+#: Parts of a window's words, by hash: one row of state each. Windows of very many words want more, set before the first start.
+KEYWORD_PARTS = 64
 
 
 def with_event_time(rows: DataFrame, delay: str, millis: str = "ts") -> DataFrame:
@@ -81,6 +88,61 @@ def trade_order(details: DataFrame, size: str = DEFAULT_SIZE, delay: str = ORDER
     return dws.first_ever_totals(firsts, "dws_trade_order_window", size)
 
 
+def _keywords_of_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words of the searches of a batch, counted by window, in a row for each window and part."""
+    for batch in batches:
+        row, words = pc.list_parent_indices(batch.column(2)), pc.list_flatten(batch.column(2))
+        if not len(words):
+            continue
+        found = pa.table([batch.column(0).take(row), batch.column(1).take(row), words], names=["start", "_at", "keyword"])
+        found = found.group_by(["start", "keyword"]).aggregate([("_at", "max"), ([], "count_all")])
+        part = [zlib.crc32(w.encode("utf-8", "surrogatepass")) % KEYWORD_PARTS if w is not None else 0 for w in found["keyword"].to_pylist()]
+        found = found.append_column("part", pa.array(part, pa.int32())).sort_by([("start", "ascending"), ("part", "ascending")])
+        start, part, at = (found[name].to_numpy() for name in ("start", "part", "_at_max"))
+        first = np.concatenate([[0], 1 + np.flatnonzero((start[1:] != start[:-1]) | (part[1:] != part[:-1]))])
+        ends = pa.array([*first.tolist(), len(part)], pa.int32())
+        lists = [pa.ListArray.from_arrays(ends, found[name].combine_chunks()) for name in ("keyword", "count_all")]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(start[first]), pa.array(part[first]), pa.array(np.maximum.reduceat(at, first)), *lists],
+            names=["start", "part", "_at", "words", "counts"],
+        )
+
+
+def _keyword_totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``stt, edt, keyword, keyword_count`` of closed windows' parts; a few rows of state at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            rows = batch.slice(at, 256)
+            seen, held = pc.list_parent_indices(rows.column(2)), pc.list_flatten(rows.column(2))
+            words, counts = held.field("words"), held.field("counts")
+            row = seen.take(pc.list_parent_indices(words))
+            found = pa.table([row, pc.list_flatten(words), pc.list_flatten(counts)], names=["row", "keyword", "n"])
+            found = found.group_by(["row", "keyword"]).aggregate([("n", "sum")]).combine_chunks()
+            row = found["row"].combine_chunks()
+            yield pa.RecordBatch.from_arrays(
+                [rows.column(0).take(row), rows.column(1).take(row), found["keyword"].combine_chunks(), found["n_sum"].combine_chunks()],
+                names=["stt", "edt", "keyword", "keyword_count"],
+            )
+
+
+def keyword(pages: DataFrame, size: str = DEFAULT_SIZE, words=distinct_words, delay: str = DELAY) -> DataFrame:
+    """Searches per word. ``pages`` bring no watermark; their time is ``ts``.
+
+    Words are counted within each batch of rows first, so state holds one row for each window and part of its words, not
+    one for each word, and is read and written so many times less often. A word adds one entry a batch, however often it is searched for.
+    """
+    searches = dws.word_searches(pages, words).select(
+        F.unix_micros(F.window("_at", size)["start"]).alias("start"), F.unix_micros("_at").alias("_at"), "words"
+    )
+    counted = searches.mapInArrow(_keywords_of_batch, "start long, part int, _at long, words array<string>, counts array<long>")
+    counted = counted.withColumn("_at", F.timestamp_micros("_at")).withWatermark("_at", delay)
+    held = F.collect_list(F.struct("words", "counts")).alias("held")
+    closed = counted.groupBy(F.window("_at", size).alias("_span"), "part").agg(held)
+    closed = closed.select(second_text(F.col("_span.start")).alias("stt"), second_text(F.col("_span.end")).alias("edt"), "held")
+    totals = closed.mapInArrow(_keyword_totals, "stt string, edt string, keyword string, keyword_count long")
+    return totals.withColumn("source", F.lit("search")).select(*columns_of("dws_traffic_source_keyword_page_view_window"))
+
+
 def unique_visitors(
     pages: DataFrame, tie: Sequence[str] = (), size: str = DEFAULT_SIZE, delay: str = DELAY
 ) -> DataFrame:

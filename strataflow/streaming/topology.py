@@ -170,7 +170,7 @@ def _user_register(i):
 
 @_job("dws", "dws_traffic_source_keyword_page_view_window")
 def _keyword_window(i):
-    return dws.keyword(jobs.with_event_time(i.pages(), jobs.DELAY), i.size)
+    return jobs.keyword(i.pages(), i.size)
 
 
 @_job("dws", "dws_traffic_vc_ch_ar_is_new_page_view_window")

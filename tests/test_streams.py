@@ -159,6 +159,25 @@ def test_latest_row_is_held_once(spark):
             assert sorted((r.id, r.version, r.v) for r in found.collect()) == [("a", 2, "y"), ("b", 1, None)]
 
 
+def test_keywords_share_rows_of_state(spark, tmp_path):
+    rng = random.Random(7)
+    feed = Feed(spark, tmp_path / "pages", PAGE)
+    at = 1_704_067_200_000
+    searches = []
+    for n in range(90):
+        item = rng.choice([None, "", " ".join(f"w{rng.randrange(900)}" for _ in range(120)), "often often Often 2024"])
+        kind = "keyword" if n % 9 else "sku_id"
+        searches.append((("m", "u", "1", "v", "c", "a"), ("good_list", "search", "10", item, kind), at + n * 700 + rng.randrange(500), n))
+    for n in range(0, 90, 30):
+        feed.add(searches[n : n + 30])
+    feed.add([(("f", "f", "1", "v", "c", "a"), ("good_list", "search", "10", "future", "keyword"), FAR, -1)])
+    query = start(jobs.keyword(feed.stream(), "20 seconds"), f"{tmp_path}/out/checkpoint", f"{tmp_path}/out/table", trigger={"availableNow": True})
+    query.awaitTermination()
+    same(spark.read.parquet(f"{tmp_path}/out/table"), dws.keyword(feed.batch(), "20 seconds"))
+    updated = max(p.stateOperators[0].numRowsUpdated for p in query.recentProgress if p.stateOperators)
+    assert 0 < updated <= 3 * jobs.KEYWORD_PARTS
+
+
 def test_visitor_flag(page_feed):
     found = run_available(jobs.repaired(page_feed.stream()), "t")
     same(found, dwd_log.repaired(page_feed.batch()), "log_id < 0")
