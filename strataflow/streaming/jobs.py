@@ -96,8 +96,9 @@ def _keywords_of_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
             continue
         found = pa.table([batch.column(0).take(row), batch.column(1).take(row), words], names=["start", "_at", "keyword"])
         found = found.group_by(["start", "keyword"]).aggregate([("_at", "max"), ([], "count_all")])
-        part = [zlib.crc32(w.encode("utf-8", "surrogatepass")) % KEYWORD_PARTS if w is not None else 0 for w in found["keyword"].to_pylist()]
-        found = found.append_column("part", pa.array(part, pa.int32())).sort_by([("start", "ascending"), ("part", "ascending")])
+        known = found["keyword"].combine_chunks().dictionary_encode("encode")
+        part = np.array([zlib.crc32(w.encode("utf-8", "surrogatepass")) % KEYWORD_PARTS if w is not None else 0 for w in known.dictionary.to_pylist()], np.int32)
+        found = found.append_column("part", pa.array(part[known.indices.to_numpy()])).sort_by([("start", "ascending"), ("part", "ascending")])
         start, part, at = (found[name].to_numpy() for name in ("start", "part", "_at_max"))
         first = np.concatenate([[0], 1 + np.flatnonzero((start[1:] != start[:-1]) | (part[1:] != part[:-1]))])
         ends = pa.array([*first.tolist(), len(part)], pa.int32())
