@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from strataflow.catalog import views as v
 from strataflow.functions import camel_case, dictionary_words, distinct_words, register_word_function, second_text, word_list
 from strataflow.operators.changes import added_quantity, changed_to, table_rows, upsert_rows
-from strataflow.operators.latest import keep_latest, latest_in_session
+from strataflow.operators.latest import latest_in_session
 from strataflow.operators.lookup import count_missing, join_dimension
 from strataflow.operators.routing import split_messages
 from strataflow.operators.timed_join import bounded_join
@@ -408,12 +408,12 @@ def order_uu(t):
 
 @query
 def sku_order_window(t):
-    return dws.sku_order(v.order_lines(t), v.dimensions(t), WEEK, v.LINE_TIE)
+    return dws.sku_order(v.latest_order_lines(t), v.dimensions(t), WEEK, versions=False)
 
 
 @query
 def province_order_window(t):
-    return dws.province_order(v.order_lines(t), v.dimensions(t)["base_province"], WEEK, v.LINE_TIE)
+    return dws.province_order(v.latest_order_lines(t), v.dimensions(t)["base_province"], WEEK, versions=False)
 
 
 @query
@@ -453,7 +453,7 @@ def _stored(frame, name):
 
 def _order_members(t):
     """Who ordered what, per week and trademark: the summary that distinct orders are counted from."""
-    lines = keep_latest(dws.sku_lines(v.order_lines(t), *v.LINE_TIE), ["id"], ["row_op_ts", *v.LINE_TIE])
+    lines = dws.sku_lines(v.latest_order_lines(t))
     branded = join_dimension(lines, v.dimensions(t)["sku_info"], "sku_id", {"tm_id": "trademark_id"})
     # A week and trademark hold a few of every 32,768 neighbouring orders.
     return _stored(ads.members(branded, ["trademark_id"], "order_id", WEEK, width=ads.MASK), "order-members")
@@ -464,7 +464,7 @@ SPAN = {"since": "1996-01-01 00:00:00", "until": "1999-01-01 00:00:00"}
 
 @query
 def ads_range_rollup(t):
-    summary = dws.sku_order(v.order_lines(t), v.dimensions(t), WEEK, v.LINE_TIE)
+    summary = dws.sku_order(v.latest_order_lines(t), v.dimensions(t), WEEK, versions=False)
     totals = ads.rollup(_stored(summary, "sku-orders"), ["trademark_id"], ["order_amount"], **SPAN)
     orders = ads.distinct_from(_order_members(t), ["trademark_id"], "order_count", **SPAN)
     totals = totals.join(orders.withColumnRenamed("trademark_id", "_of"), F.col("trademark_id").eqNullSafe(F.col("_of"))).drop("_of")

@@ -271,9 +271,10 @@ def sku_order(
     size: str = DEFAULT_SIZE,
     tie: tuple[str, ...] = (),
     missing: str = "null",
+    versions: bool = True,
 ) -> DataFrame:
-    """Orders and amounts per article, on the latest version of each line, with all names."""
-    lines = keep_latest(sku_lines(details, *tie), ["id"], ["row_op_ts", *tie])
+    """Orders and amounts per article, on the latest version of each line, with all names. Without ``versions`` the details hold no other."""
+    lines = keep_latest(sku_lines(details, *tie), ["id"], ["row_op_ts", *tie]) if versions else sku_lines(details)
     return sku_named(sku_totals(lines, size), dims, missing)
 
 
@@ -292,9 +293,10 @@ def province_order(
     size: str = DEFAULT_SIZE,
     tie: tuple[str, ...] = (),
     missing: str = "null",
+    versions: bool = True,
 ) -> DataFrame:
-    """Orders and amounts per province, on the latest version of each line."""
-    lines = keep_latest(province_lines(details, *tie), ["id"], ["row_op_ts", *tie])
+    """Orders and amounts per province, on the latest version of each line. Without ``versions`` the details hold no other."""
+    lines = keep_latest(province_lines(details, *tie), ["id"], ["row_op_ts", *tie]) if versions else province_lines(details)
     return province_named(province_totals(lines, size), provinces, missing)
 
 

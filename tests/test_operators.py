@@ -6,6 +6,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from strataflow.catalog import registry, views
 from strataflow.functions import (
     camel_case,
     day_gap,
@@ -440,3 +441,34 @@ def test_lines_of_unknown_codes_do_not_go_to_the_orders(spark, folder):
     semi = [n for n, line in enumerate(plan) if "Join LeftSemi" in line]
     orders = [n for n, line in enumerate(plan) if "Join Inner" in line and "_order_key" in line]
     assert len(semi) == 1 and len(orders) == 1 and orders[0] < semi[0]
+
+
+def test_latest_lines_are_picked_before_the_join(spark):
+    """The ranking shuffles given columns only; versions and copies of lines, and copies of orders, count as they do after the join."""
+    rng = random.Random(3)
+
+    class Given:
+        lineitem = spark.createDataFrame(
+            [
+                (rng.choice([None, *range(12)]), rng.choice([None, 1, 2, 3]), rng.randrange(3), rng.randrange(2), rng.choice([None, 5.0, 7.5]), float(rng.randrange(1, 4)), 0.05, 0.06, rng.choice([None, "2024-01-01", "2024-01-02"]))
+                for _ in range(300)
+            ],
+            "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_extendedprice double, l_quantity double, l_discount double, l_tax double, ship string",
+        ).withColumn("l_shipdate", F.col("ship").cast("timestamp"))
+        orders = spark.createDataFrame([(k, k % 5) for k in range(2, 15)] + [(4, 4)], "o_orderkey long, o_custkey long").withColumn(
+            "o_orderdate", F.timestamp_seconds(F.lit(1_704_067_200) + F.col("o_orderkey") * 86400)
+        )
+
+    names = ["id", "order_id", "sku_id", "province_id", "split_total_amount", "ts", "l_suppkey"]
+    want = keep_latest(views.order_lines(Given), ["id"], ["row_op_ts", *views.LINE_TIE]).select(names)
+    found = views.latest_order_lines(Given).select(names)
+    assert sorted(map(str, found.collect())) == sorted(map(str, want.collect())) and want.count() > 20
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("Window")
+
+
+def test_summaries_of_lines_rank_before_the_join(spark, folder):
+    for name in ("sku_order_window", "province_order_window"):
+        plan = registry.queries()[name](spark, folder)._jdf.queryExecution().optimizedPlan().toString()
+        ranked = plan[plan.index("Window [") :]
+        assert "Join" not in ranked and "decimal" not in ranked
