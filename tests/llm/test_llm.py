@@ -400,3 +400,17 @@ def test_passed_over_windows_hold_no_leak():
                 region = ids[max(0, w * latent_search.STEP - len(terms)) : w * latent_search.STEP + latent_search.WINDOW + len(terms)].tolist()
                 assert latent_search.common_subsequence(terms, region) < latent_search.PARAPHRASE * len(terms)
     assert skipped > 50
+
+
+def test_words_of_regions_are_counted_in_arrays(monkeypatch):
+    monkeypatch.setattr(latent_search, "PAIRS", 7)
+    rng = random.Random(5)
+    items = [[rng.randrange(40) for _ in range(rng.randrange(1, 30))] for _ in range(12)]
+    ends, terms = np.cumsum([0, *map(len, items)]), np.concatenate(items)
+    for _ in range(200):
+        ids = np.array([rng.choice([-1, rng.randrange(40)]) for _ in range(rng.randrange(1, 200))], np.int32)
+        item = np.array([rng.randrange(12) for _ in range(rng.randrange(1, 30))])
+        low = np.array([rng.randrange(len(ids)) for _ in item])
+        high = np.minimum(low + rng.randrange(80), len(ids))
+        want = [sum(t in ids[a:b].tolist() for t in items[i]) for a, b, i in zip(low, high, item)]
+        assert latent_search.held_words(ids, low, high, terms, ends, item).tolist() == want
