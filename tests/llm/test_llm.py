@@ -1,6 +1,7 @@
 """Every operator against a plain form, and on NULLs, empty tables, repeated rows and clashing names."""
 
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -414,3 +415,15 @@ def test_words_of_regions_are_counted_in_arrays(monkeypatch):
         high = np.minimum(low + rng.randrange(80), len(ids))
         want = [sum(t in ids[a:b].tolist() for t in items[i]) for a, b, i in zip(low, high, item)]
         assert latent_search.held_words(ids, low, high, terms, ends, item).tolist() == want
+
+
+def test_saved_leaves_no_shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    count = lambda: sum("shuffle_" in files.getAllFiles().apply(i).getName() for i in range(files.getAllFiles().size()))
+    before = count()
+    made = shared.saved(spark.range(20000).selectExpr("id % 997 AS k", "id").repartition(7, "k"), "many")
+    for _ in range(50):
+        if count() <= before:
+            break
+        time.sleep(0.1)
+    assert count() <= before and made.count() == 20000
