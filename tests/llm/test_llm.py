@@ -427,3 +427,37 @@ def test_saved_leaves_no_shuffle_files(spark):
             break
         time.sleep(0.1)
     assert count() <= before and made.count() == 20000
+
+
+def test_maps_rule_out_no_near_pair(spark):
+    np, rng = shingle_join.np, random.Random(6)
+    sets = []
+    for size in (1, 5, 40, 300, 3000):
+        own = [rng.getrandbits(64) for _ in range(size)]
+        for changed in (0, size // 20, size // 9, size // 8 + 1, size):
+            sets.append(np.unique(np.array([rng.getrandbits(64) if i < changed else h for i, h in enumerate(own)], np.uint64)).view(np.int64))
+    pairs = [(x, y) for x in sets for y in sets]
+    maps = [np.array([shingle_join.bit_map(p[k]) for p in pairs]) for k in (0, 1)]
+    sizes = [np.array([len(p[k]) for p in pairs]) for k in (0, 1)]
+    kept = shingle_join.may_be_near(*maps, *sizes, 0.8).tolist()
+    near = [len(np.intersect1d(x, y)) >= 0.8 * len(np.union1d(x, y)) for x, y in pairs]
+    assert any(near) and all(k for k, n in zip(kept, near) if n) and sum(kept) < 1.5 * sum(near)
+
+
+def test_sets_are_sent_for_possible_pairs_only(spark, monkeypatch):
+    rng = random.Random(12)
+    common = " ".join(f"c{i}" for i in range(12))
+    texts = [" ".join([common, *(f"w{rng.randrange(10**6)}" for _ in range(60))]) for _ in range(40)]
+    texts.append(texts[0].replace("c3 ", "x "))
+    written, saved = {}, shingle_join.saved
+
+    def counted(frame, label, *rest):
+        found = saved(frame, label, *rest)
+        written.setdefault(label, []).append(found.count())
+        return found
+
+    monkeypatch.setattr(shingle_join, "saved", counted)
+    frame = spark.createDataFrame(list(enumerate(texts)), SHAPE)
+    rows = simhash_dedup.one_of_each(frame, shingle=5, similarity=0.8).collect()
+    assert {r.doc_id for r in rows} == set(range(40))
+    assert written["pairs"][0] <= 1 and "sets" not in written
