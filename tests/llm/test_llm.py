@@ -461,3 +461,18 @@ def test_sets_are_sent_for_possible_pairs_only(spark, monkeypatch):
     rows = simhash_dedup.one_of_each(frame, shingle=5, similarity=0.8).collect()
     assert {r.doc_id for r in rows} == set(range(40))
     assert written["pairs"][0] <= 1 and "sets" not in written
+
+
+def test_dense_stretches_are_searched_whole(monkeypatch):
+    rng, asked, may_leak = random.Random(14), [], latent_search.may_leak
+    items = latent_search.read_items([(i, " ".join(f"w{rng.randrange(40)}" for _ in range(rng.randrange(15, 50))), None) for i in range(12)])
+    weight = np.array([rng.random() for _ in items.vocabulary] + [0.0])
+    sizes, least = latent_search.least_weights(items, weight)
+    monkeypatch.setattr(latent_search, "may_leak", lambda ids, *rest: asked.append(len(ids)) or may_leak(ids, *rest))
+    for known in (0.0, 0.1, 0.2, 0.5, 1.0):
+        ids = np.array([rng.randrange(len(items.vocabulary)) if rng.random() < known else -1 for _ in range(2000)])
+        count = len(latent_search.windows(ids))
+        asked.clear()
+        found = set(latent_search.to_search(ids, weight, sizes, least, 0, count).tolist())
+        assert found >= set(may_leak(ids, weight, sizes, least, 0, count).tolist())
+        assert (len(found) == count and not asked) if known >= 0.5 else asked == [len(ids)]
