@@ -476,3 +476,34 @@ def test_dense_stretches_are_searched_whole(monkeypatch):
         found = set(latent_search.to_search(ids, weight, sizes, least, 0, count).tolist())
         assert found >= set(may_leak(ids, weight, sizes, least, 0, count).tolist())
         assert (len(found) == count and not asked) if known >= 0.5 else asked == [len(ids)]
+
+
+def test_basis_is_fitted_on_every_document(spark):
+    np = latent_search.np
+    rng = random.Random(16)
+    items = latent_search.read_items([(i, " ".join(f"w{rng.randrange(90)}" for _ in range(30)), None) for i in range(3)])
+    weight = np.array([0.5 + rng.random() for _ in items.vocabulary] + [0.0])
+    texts = [[rng.choice([-1, rng.randrange(len(items.vocabulary))]) for _ in range(rng.choice([3, 25, 45]))] for _ in range(8010)]
+    texts.append([rng.randrange(len(items.vocabulary)) for _ in range(25000)])
+    known = spark.createDataFrame([(n, bytearray(np.array(t, np.int32).tobytes())) for n, t in enumerate(texts)], "doc_id bigint, ids binary")
+    got = latent_search.latent_basis(known, items, weight)
+    rows = np.concatenate([latent_search.windows(np.array(t)) for t in texts])
+    own = np.concatenate([latent_search.windows(np.array(t)) for t in items.terms])
+    columns = len(items.vocabulary)
+    basis = np.linalg.qr(np.random.default_rng(3).standard_normal((columns, min(latent_search.RANK, columns))))[0].astype(np.float32)
+    gram = np.zeros((columns, columns), np.float64)
+    for part, times in ((rows, latent_search.FIT_DOCUMENTS / len(texts)), (own, 50)):
+        dense = latent_search._dense(part, weight, columns).astype(np.float64)
+        dense /= np.maximum(np.linalg.norm(dense, axis=1, keepdims=True), 1e-9)
+        gram += times * dense.T @ dense
+    # The full width spans everything, so what a direction weighs is compared: each column's own value.
+    assert got.shape[1] == basis.shape[1]
+    want = np.linalg.eigvalsh(gram)[-got.shape[1] :]
+    assert np.allclose(np.einsum("ij,ij->j", got, gram @ got), want, rtol=1e-3, atol=1e-3 * want.max())
+
+
+def test_words_are_those_of_the_pattern():
+    rng = random.Random(17)
+    for _ in range(3000):
+        text = "".join(rng.choice("ab_ß3Σ .,-'\"\n\t\x1c\x85 ​́–…é中%") for _ in range(12))
+        assert latent_search.words(text) == latent_search._WORD.findall(text.lower())
