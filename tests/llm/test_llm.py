@@ -1,5 +1,6 @@
 """Every operator against a plain form, and on NULLs, empty tables, repeated rows and clashing names."""
 
+import os
 import random
 import time
 from collections import Counter
@@ -507,3 +508,45 @@ def test_words_are_those_of_the_pattern():
     for _ in range(3000):
         text = "".join(rng.choice("ab_ß3Σ .,-'\"\n\t\x1c\x85 ​́–…é中%") for _ in range(12))
         assert latent_search.words(text) == latent_search._WORD.findall(text.lower())
+
+
+def test_all_pairs_of_a_line_make_keys(spark):
+    rng = random.Random(18)
+    texts = []
+    for n in range(150):
+        words = [rng.choice("bcdfg") + str(rng.randrange(300)) for _ in range(40)]
+        texts.append(" ".join(words))
+        for k in range(n % 4, 40, 4):
+            words[k] = "z" + words[k][1:]
+        texts.append(" ".join(words))
+    frame = spark.createDataFrame([(n, t) for n, t in enumerate(texts)], SHAPE)
+    lines = line_dedup.document_lines(frame, "doc_id", "text")
+    text_of = {r.line_id: r.norm for r in lines.collect()}
+    ids = {t: i for i, t in text_of.items()}
+    sim = {r.line_id: r.sim for r in line_dedup.fingerprints(lines.select("line_id", "norm")).collect()}
+    want = [(ids[a], ids[b]) for a, b in zip(texts[::2], texts[1::2]) if (sim[ids[a]] ^ sim[ids[b]]).bit_count() <= line_dedup.WIDE]
+    group = groups(ids.values(), [tuple(r) for r in line_dedup.line_links(lines, line_dedup.WIDE).collect()])
+    assert len(want) > 40 and all(group[a] == group[b] for a, b in want)
+
+
+def test_keys_of_all_rounds_are_all_keys(spark, monkeypatch):
+    rows = [(n, [n + 10 * k for k in range(n)]) for n in range(1, 6)]
+    pairs = spark.createDataFrame(rows, "line_id bigint, pairs array<bigint>")
+    whole = sorted(tuple(r) for r in line_dedup.line_keys(pairs).collect())
+    parts = sorted(tuple(r) for n in range(1, 5) for r in line_dedup.line_keys(pairs, n, 4).collect())
+    assert parts == whole and [sum(i == n for i, _ in whole) for n in range(1, 6)] == [1, 1, 3, 5, 7]
+    texts = [(n, f"one two three four five six {w}\nother {w}") for n, w in enumerate(["seven", "seven", "sevens", "even"])]
+    frame = spark.createDataFrame(texts, SHAPE)
+    once = sorted(map(tuple, line_dedup.dedup_lines(frame).collect()))
+    monkeypatch.setattr(line_dedup, "ROUND_KEYS", 7)
+    monkeypatch.setattr(line_dedup, "ROUNDS", 3)
+    assert sorted(map(tuple, line_dedup.dedup_lines(frame).collect())) == once and sum(r[3] for r in once) == 4
+
+
+def test_scratch_of_lines_goes_when_it_is_read(spark):
+    base = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(base))
+    frame = spark.createDataFrame([(n, f"a b c d e f g{n % 2}") for n in range(6)], SHAPE)
+    found = line_dedup.dedup_lines(frame)
+    assert sum(r.n_removed for r in found.collect()) == 5
+    assert {name.rsplit("-", 1)[0] for name in set(os.listdir(base)) - before} == {"gone"}
