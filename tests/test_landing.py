@@ -2,11 +2,14 @@
 
 import datetime as dt
 import json
+import os
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from strataflow.catalog.streams import StreamTables
 from strataflow.functions import dictionary_words, word_list, words
 from strataflow.plans import dwd_db, ods
 from strataflow.sinks.landing import land, land_stream, landed
@@ -117,3 +120,25 @@ def test_long_text_and_word_lists(spark):
     with pytest.raises(ValueError, match="more than 1"):
         word_list(frame, "w", limit=1)
 
+
+
+def test_writes_that_are_read_again_leave_no_shuffle_files(spark, tmp_path):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def left(before, tries=50):
+        count = sum("shuffle_" in files.getAllFiles().apply(i).getName() for i in range(files.getAllFiles().size()))
+        if count <= before or not tries:
+            return count
+        time.sleep(0.1)
+        return left(before, tries - 1)
+
+    before, base = left(0, 0), spark.conf.get("spark.checkpoint.dir")
+    land(feed(spark), str(tmp_path / "landing"), "year")
+    t = StreamTables(spark, "none")
+    rows = spark.range(400).repartition(3, "id").selectExpr("id", "id AS ts")
+    t.in_batches(rows, "probe", F.pmod("id", F.lit(4)), {"id": "-1"})
+    t.staged(rows, "whole", {"id": "-1"})
+    assert left(before) <= before
+    kept = [name for name in os.listdir(base) if name.startswith("probe-")]
+    # The copy dealt out by part is gone; what the stream reads holds all rows.
+    assert len(kept) == 1 and spark.read.parquet(f"{base}/{kept[0]}").count() == 401
